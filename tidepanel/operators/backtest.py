@@ -107,11 +107,14 @@ def with_drawdown(curve: DataFrame) -> DataFrame:
     return curve.withColumn("drawdown", drop_from_high("equity", None, w))
 
 
-def performance(curve: DataFrame) -> DataFrame:
-    """(strategy, metric, value): total return, worst drawdown, annualised Sharpe ratio of the days that moved."""
+def performance(curve: DataFrame, *, still: float = 1e-12) -> DataFrame:
+    """(strategy, metric, value): total return, worst drawdown, annualised Sharpe ratio of the days that moved.
+
+    A return within ``still`` of 0 is rounding noise of an unchanged account.
+    """
     w = Window.partitionBy(STRATEGY).orderBy(DAY)
     moved = ratio("equity", F.lag("equity", 1).over(w)) - 1
-    daily = curve.withColumn("_ret", F.nullif(moved, F.lit(0.0)))
+    daily = curve.withColumn("_ret", F.when(F.abs(moved) > still, moved))
     stats = daily.groupBy(STRATEGY).agg(
         (ratio(F.max_by("equity", DAY), F.min_by("equity", DAY)) - 1).alias("Total Return"),
         F.min("drawdown").alias("Max Drawdown"),

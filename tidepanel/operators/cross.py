@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidepanel.functions.scalar import ratio
 from tidepanel.operators.order import null_safe_join, positions, quantiles, value_counts
-from tidepanel.operators.windows import Keys, key_list, safe_deviation
+from tidepanel.operators.normalise import safe_deviation
+from tidepanel.operators.windows import Keys, key_list
 from tidepanel.session import materialise
 
 

@@ -16,6 +16,7 @@ from tidepanel.operators.cross import (
     combined_score, ndcg, percent_ranks, robust_delta, score_summary, top_k,
 )
 from tidepanel.operators.ingest import insert_ignore, missing_days, nulls_to_zero, referenced, upsert_first
+from tidepanel.operators.normalise import zscore_past
 from tidepanel.operators.order import dense_ids, null_safe_join
 from tidepanel.operators.portfolio import capped_rank_weights, decisions, rank_weights
 from tidepanel.operators.relate import current_entities, lookback, with_context
@@ -26,7 +27,7 @@ from tidepanel.operators.split import split_by_dates, split_entity_tail, split_r
 from tidepanel.operators.targets import forward_trade_return
 from tidepanel.operators.windows import (
     active_over, after_warmup, beta, change, drop_from_high, lagged_return, relative_volume, rolling, rolling_quantile,
-    timeline, trailing, with_enough_history, zscore_past,
+    timeline, trailing, with_enough_history,
 )
 from tidepanel.plans import daily_store as store, fitted, ranking_panel as ranking, risk_panel, strategy
 from tidepanel.session import materialise
@@ -43,13 +44,16 @@ def query(fn: Query) -> Query:
     return fn
 
 
+PRICES = {"open_price", "close", "high", "low", "bid", "offer", "previous", "target"}
+
+
 def neat(df: DataFrame) -> DataFrame:
-    """Doubles to 6 decimals (and no negative zero), integers to bigint."""
+    """Doubles to 6 decimals (prices, which often end exactly half way, to 9) without negative zero; integers to bigint."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, 6) + F.lit(0.0)
+            c = F.round(c, 9 if f.name in PRICES else 6) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType)):
             c = c.cast("bigint")
         out.append(c.alias(f.name))
@@ -332,12 +336,13 @@ def robust_scale(spark: SparkSession, sf: str) -> DataFrame:
     return neat(scaled.select("d", "is_val", *STATE_FEATURES, "crash", "regime"))
 
 
-_SEQ = ["hl_range", "order_imbalance", "close"]
+_SEQ = ["hl_range", "order_imbalance", "log_close"]
 
 
 def _steps(spark: SparkSession, sf: str) -> DataFrame:
     return bars(spark, sf).select(
-        *KEYS, flow_ratios()["hl_range"].alias("hl_range"), book_ratios()["order_imbalance"].alias("order_imbalance"), "close"
+        *KEYS, "close", flow_ratios()["hl_range"].alias("hl_range"), book_ratios()["order_imbalance"].alias("order_imbalance"),
+        F.ln("close").alias("log_close"),
     )
 
 
@@ -352,7 +357,7 @@ def seq_windows(spark: SparkSession, sf: str) -> DataFrame:
         seqs.select(
             *KEYS,
             F.size("sequence").alias("steps"),
-            F.element_at("sequence", 1)[2].alias("oldest_close"),
+            F.element_at("sequence", 1)[2].alias("oldest_log_close"),
             F.element_at("sequence", -1)[1].alias("newest_imbalance"),
             _sequence_total("sequence").alias("total"),
             F.col("close").alias("target"),
@@ -367,7 +372,7 @@ def seq_latest(spark: SparkSession, sf: str) -> DataFrame:
         seqs.select(
             *KEYS,
             F.size("sequence").alias("steps"),
-            F.element_at("sequence", 1)[2].alias("oldest_close"),
+            F.element_at("sequence", 1)[2].alias("oldest_log_close"),
             _sequence_total("sequence").alias("total"),
             *[F.col("latest")[i].alias(f"latest_{c}") for i, c in enumerate(_SEQ)],
         )
