@@ -16,11 +16,12 @@ from tidepanel.operators.windows import Keys, key_list
 
 def frame_moments(
     df: DataFrame, cols: Iterable[str], n: int, *, end: int = 0, entity: Keys = "entity", ts: str = "d",
-    keep: Iterable[str] | None = None,
+    keep: Iterable[str] | None = None, full_only: bool = False,
 ) -> DataFrame:
     """``keep`` and ``cols`` plus ``_n_``, ``_m_`` and ``_v_`` (count, mean, sum of squared deviations) per column.
 
-    The frame is the n rows that end ``end`` rows before the current one.
+    The frame is the n rows that end ``end`` rows before the current one. ``full_only`` leaves out the rows whose
+    frame starts before the entity does.
     """
     cols = list(cols)
     keep = [c for c in df.columns if c not in cols] if keep is None else list(keep)
@@ -30,13 +31,11 @@ def frame_moments(
 
     def stats(w, name: str) -> Column:
         w = w.rowsBetween(Window.unboundedPreceding, 0)
-        parts = [
-            x
-            for i, c in enumerate(cols)
-            for x in (
+        parts = []
+        for i, c in enumerate(cols):
+            parts += [
                 F.count(c).over(w).alias(f"n{i}"), F.avg(c).over(w).alias(f"m{i}"), F.var_pop(c).over(w).alias(f"v{i}")
-            )
-        ]
+            ]
         return F.struct(*parts).alias(name)
 
     carried = list(dict.fromkeys([*keys, ts, *keep, *cols]))
@@ -52,6 +51,8 @@ def frame_moments(
         F.lag("_block", end + n - 1).over(ordered).alias("_first_block"),
     )
     apart = ~F.col("_last._block").eqNullSafe(F.col("_first_block"))
+    if full_only:
+        paired = paired.where(F.col("_first_block").isNotNull())
     paired = paired.withColumn("_head", F.when(apart, F.col("_last._head")))
 
     out = []
@@ -59,12 +60,12 @@ def frame_moments(
         n1, n2 = F.coalesce(F.col(f"_tail.n{i}"), F.lit(0)), F.coalesce(F.col(f"_head.n{i}"), F.lit(0))
         m1, m2 = F.col(f"_tail.m{i}"), F.col(f"_head.m{i}")
         share = F.try_divide(n2, n1 + n2)
+        within = [F.coalesce(F.col(f"{s}.v{i}") * k, F.lit(0.0)) for s, k in (("_tail", n1), ("_head", n2))]
         between = F.coalesce((m2 - m1) * (m2 - m1) * n1 * share, F.lit(0.0))
-        within = F.coalesce(F.col(f"_tail.v{i}") * n1, F.lit(0.0)) + F.coalesce(F.col(f"_head.v{i}") * n2, F.lit(0.0))
         out += [
             (n1 + n2).alias(f"_n_{c}"),
             F.coalesce(m1 + (m2 - m1) * share, m1, m2).alias(f"_m_{c}"),
-            (within + between).alias(f"_v_{c}"),
+            (within[0] + within[1] + between).alias(f"_v_{c}"),
         ]
     return paired.select(*dict.fromkeys([*keep, *cols]), *out)
 
@@ -78,3 +79,4 @@ def sample_deviation(c: str) -> Column:
 def population_deviation(c: str) -> Column:
     n = F.col(f"_n_{c}")
     return F.when(n > 0, F.sqrt(F.col(f"_v_{c}") / n))
+

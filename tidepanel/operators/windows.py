@@ -90,15 +90,14 @@ def rolling_quantile(c: ColumnOrName, q: float, n: int, min_rows: int, w: Window
 def beta(x: ColumnOrName, y: ColumnOrName, n: int, w: WindowSpec, *, paired: bool = False) -> Column:
     """Slope of x on y over the last n rows.
 
-    The default takes each mean over the rows where its own operand is known. ``paired`` uses only rows where both
-    are.
+    Each mean is taken over the rows where its own operand is known; with ``paired``, over the rows where both are.
     """
     x, y = as_col(x), as_col(y)
     frame = w.rowsBetween(1 - n, Window.currentRow)
     if paired:
         return ratio(F.covar_pop(x, y).over(frame), F.var_pop(F.when(x.isNotNull(), y)).over(frame))
-    mx, my = F.avg(x).over(frame), F.avg(y).over(frame)
-    return ratio(F.avg(x * y).over(frame) - mx * my, F.avg(y * y).over(frame) - my * my)
+    mean_x, mean_y = F.avg(x).over(frame), F.avg(y).over(frame)
+    return ratio(F.avg(x * y).over(frame) - mean_x * mean_y, F.avg(y * y).over(frame) - mean_y * mean_y)
 
 
 def rolling(

@@ -49,11 +49,8 @@ def feature_store(bars: DataFrame, index: DataFrame, params: StoreParams = Store
         bars, index = lookback(bars, params.lookback_days), lookback(index, params.lookback_days)
     w = timeline()
     full = with_index(daily_features(bars), index_returns(index)).withColumns(
-        {
-            "beta_60d": beta("ret_1d", "index_ret_1d", params.beta_rows, w),
-            "fwd_ret_3d": forward_trade_return(3, w, compat=compat),
-            "fwd_ret_5d": forward_trade_return(5, w, compat=compat),
-        }
+        {"beta_60d": beta("ret_1d", "index_ret_1d", params.beta_rows, w)}
+        | {f"fwd_ret_{k}d": forward_trade_return(k, w, compat=compat) for k in (3, 5)}
     )
     return full.dropna(subset=["ret_5d", "volatility_10d", "beta_60d", "fwd_ret_3d"])
 

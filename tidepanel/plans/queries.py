@@ -158,9 +158,13 @@ def _market(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.market_context(index_series(spark, sf), rate_series(spark, sf))
 
 
+def _joined(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.panel_base(ranking.entity_features(bars(spark, sf)), _market(spark, sf))
+
+
 def _base(spark: SparkSession, sf: str) -> DataFrame:
-    """The joined feature panel, written once: targets, normalisation and splits all read it."""
-    return materialise(ranking.panel_base(ranking.entity_features(bars(spark, sf)), _market(spark, sf)))
+    """The joined feature panel, written once where targets and normalisation both read it."""
+    return materialise(_joined(spark, sf))
 
 
 @query
@@ -225,11 +229,11 @@ def drop_warmup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def zscore_past_(spark: SparkSession, sf: str) -> DataFrame:
-    return neat(ranking.normalised_panel(_base(spark, sf)).select(*KEYS, *[f"{c}_n" for c in SCALED_FEATURES]))
+    return neat(ranking.normalised_panel(_joined(spark, sf)).select(*KEYS, *[f"{c}_n" for c in SCALED_FEATURES]))
 
 
 def _slim_base(spark: SparkSession, sf: str) -> DataFrame:
-    """Only what the targets read, so that the market's columns other than its days are pruned."""
+    """Only what the targets read."""
     features = ranking.entity_features(bars(spark, sf)).select(*KEYS, "close", "ret_1d")
     return materialise(with_context(features, _market(spark, sf).select("d")))
 
@@ -248,8 +252,8 @@ def zscore_cross(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def class5(spark: SparkSession, sf: str) -> DataFrame:
-    base = _base(spark, sf)
-    panel = after_warmup(zscore_past(base, ["ret_1d"], keep=KEYS), 60)
+    base = _slim_base(spark, sf)
+    panel = zscore_past(base, ["ret_1d"], keep=KEYS, full_only=True)
     labelled = ranking.labelled(panel, ranking.targets(base), "future_return")
     return neat(labelled.select(*KEYS, "ret_1d_n", "future_return", "future_return_class"))
 
