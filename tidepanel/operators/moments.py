@@ -27,7 +27,7 @@ def frame_moments(
     keep = [c for c in df.columns if c not in cols] if keep is None else list(keep)
     keys = key_list(entity)
     along = Window.partitionBy(*keys).orderBy(ts)
-    block = Window.partitionBy(*keys, "_block")
+    block = Window.partitionBy(*keys, "_chunk")
 
     def stats(w, name: str) -> Column:
         w = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -39,20 +39,20 @@ def frame_moments(
         return F.struct(*parts).alias(name)
 
     carried = list(dict.fromkeys([*keys, ts, *keep, *cols]))
-    placed = df.select(*carried, F.floor((F.row_number().over(along) - 1) / n).cast("int").alias("_block"))
+    placed = df.select(*carried, F.floor((F.row_number().over(along) - 1) / n).cast("int").alias("_chunk"))
     tails = placed.select("*", stats(block.orderBy(F.col(ts).desc()), "_tail"))
     heads = tails.select("*", stats(block.orderBy(ts), "_head"))
     # blocks increase with time, so this order is the order of time and needs no further sort
-    ordered = Window.partitionBy(*keys).orderBy("_block", ts)
+    ordered = Window.partitionBy(*keys).orderBy("_chunk", ts)
     paired = heads.select(
         *carried,
         F.lag("_tail", end + n - 1).over(ordered).alias("_tail"),
-        F.lag(F.struct("_block", "_head"), end).over(ordered).alias("_last"),
-        F.lag("_block", end + n - 1).over(ordered).alias("_first_block"),
+        F.lag(F.struct("_chunk", "_head"), end).over(ordered).alias("_last"),
+        F.lag("_chunk", end + n - 1).over(ordered).alias("_first_chunk"),
     )
-    apart = ~F.col("_last._block").eqNullSafe(F.col("_first_block"))
+    apart = ~F.col("_last._chunk").eqNullSafe(F.col("_first_chunk"))
     if full_only:
-        paired = paired.where(F.col("_first_block").isNotNull())
+        paired = paired.where(F.col("_first_chunk").isNotNull())
     paired = paired.withColumn("_head", F.when(apart, F.col("_last._head")))
 
     out = []

@@ -60,10 +60,14 @@ def _stream(spark: SparkSession, folder: str, kind: str) -> DataFrame:
 def ingest_summaries(spark: SparkSession, landing: str, root: str, state: str) -> StreamingQuery:
     """Load the files in ``landing/stock`` and ``landing/index`` that the query state has not seen.
 
-    The two feeds of a day land together; they are read as one stream so that a micro-batch holds both.
+    The two feeds of a day land together; they are read as one stream so that a micro-batch holds both. A date
+    (yyyyMMdd) in a file name marks that day as requested, even when the file holds no rows.
     """
-    stock = _stream(spark, f"{landing}/stock", "stock").selectExpr("to_json(struct(*)) AS page", "'stock' AS kind")
-    index = _stream(spark, f"{landing}/index", "index").selectExpr("to_json(struct(*)) AS page", "'index' AS kind")
+
+    def feed(kind: str) -> DataFrame:
+        return _stream(spark, f"{landing}/{kind}", kind).selectExpr(
+            "to_json(struct(*)) AS page", f"'{kind}' AS kind", "_metadata.file_name AS file"
+        )
 
     def load(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
@@ -74,10 +78,12 @@ def ingest_summaries(spark: SparkSession, landing: str, root: str, state: str) -
             ddl = page_schema(kind).simpleString()
             return parsed.selectExpr(f"from_json(page, '{ddl}') AS p").select("p.*")
 
+        requested = pages.selectExpr(r"try_to_timestamp(regexp_extract(file, '([0-9]{8})', 1), 'yyyyMMdd') AS timestamp")
+        append_new(session, root, "time_dimensions", requested.where("timestamp IS NOT NULL").distinct())
         load_summaries(session, root, stock_rows(typed("stock")), index_rows(typed("index")))
 
     return (
-        stock.unionByName(index)
+        feed("stock").unionByName(feed("index"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", f"{state}/summaries")
         .trigger(availableNow=True)
