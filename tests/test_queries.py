@@ -96,3 +96,13 @@ def test_fitted_models(spark, sf):
 def test_neat_has_no_negative_zero(spark):
     row = neat(spark.createDataFrame([(-1e-9, 3)], "x double, i int")).first()
     assert str(row["x"]) == "0.0" and row["i"] == 3
+
+
+def test_market_models_use_the_unscaled_volatility(spark, sf):
+    from tidepanel.plans.fitted import market_models
+    from tidepanel.plans.risk_panel import scaled_state
+
+    got = market_models(scaled_state(index_series(spark, sf)), trees=2)["scores"].toPandas()
+    assert len(got) > 0 and (got.realised_vol > 0).all()
+    assert got.recommended_exposure.between(0.1, 1.0).all()
+    assert (got.bull_prob + got.bear_prob + got.neutral_prob.fillna(0)).round(6).eq(1).all()

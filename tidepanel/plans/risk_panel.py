@@ -42,6 +42,10 @@ def market_state(index: DataFrame, params: RiskParams = RiskParams()) -> DataFra
 
 
 def scaled_state(index: DataFrame, params: RiskParams = RiskParams(), *, profile: str = "COMPOSITE") -> DataFrame:
-    """State rows of one index with ``is_val``, scaled by the quartiles of the training rows."""
-    state = materialise(split_rows(market_state(index.where(F.col(SERIES) == profile), params), params.train_ratio, entity=SERIES))
+    """State rows of one index with ``is_val``, scaled by the quartiles of the training rows.
+
+    ``realised_vol`` keeps the unscaled 60-day volatility.
+    """
+    rows = split_rows(market_state(index.where(F.col(SERIES) == profile), params), params.train_ratio, entity=SERIES)
+    state = materialise(rows.withColumn("realised_vol", F.col("vol_60")))
     return apply_robust(state, fit_robust(train(state), STATE_FEATURES), STATE_FEATURES)
