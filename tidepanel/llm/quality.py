@@ -146,8 +146,13 @@ def judged(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -
 
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
-    """The rows that pass, with the columns they came with."""
-    return judged(docs, rules, text).where("kept").select("_row.*")
+    """The rows that pass, with the columns they came with.
+
+    The verdict must be evaluated once: a filter pushed below the projections would copy them into itself many times over,
+    so it also asks for a column that may not be moved.
+    """
+    marked = judged(docs, rules, text).select("_row", "kept", F.monotonically_increasing_id().alias("_at"))
+    return marked.where("kept AND _at >= 0").select("_row.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
