@@ -182,8 +182,8 @@ def _prefixes(batches: Iterable[pa.RecordBatch], weights: Broadcast, threshold:
         if rows:
             at = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(at) for c in ("bucket", "node", "root", "sketch")] + [pa.array(np.concatenate(keys).view(np.int64))],
-                names=["bucket", "node", "root", "sketch", "key"],
+                [batch.column(c).take(at) for c in ("bucket", "node", "root", "sketch", "bands")] + [pa.array(np.concatenate(keys).view(np.int64))],
+                names=["bucket", "node", "root", "sketch", "bands", "key"],
             )
 
 
@@ -196,14 +196,16 @@ def _links(pairs: DataFrame, texts: DataFrame, weights: Broadcast, threshold: fl
 
 def _apart(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Pairs (a, b) with equal keys that are in different components and whose sketches differ in ``DIFFER`` places at most."""
-    other = rows.select(*keys, F.col("node").alias("b"), F.col("root").alias("root2"), F.col("sketch").alias("sketch2"))
+    other = rows.select(*keys, F.col("node").alias("b"), F.col("root").alias("root2"), F.col("sketch").alias("sketch2"), F.col("bands").alias("bands2"))
 
     def differ(k: int):
         x = F.get(F.col("sketch"), F.lit(k)).bitwiseXOR(F.get(F.col("sketch2"), F.lit(k)))
         return F.bit_count(x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
 
     total = sum((differ(k) for k in range(1, SKETCH)), differ(0))
-    both = rows.join(other, keys).where((F.col("root") != F.col("root2")) & (F.col("node") < F.col("b")) & (total <= DIFFER))
+    # A pair comes from the least of the buckets it shares: elsewhere it has been compared or is in one component.
+    first = F.col("bucket") == F.array_min(F.array_intersect("bands", "bands2"))
+    both = rows.join(other, keys).where((F.col("root") != F.col("root2")) & (F.col("node") < F.col("b")) & (total <= DIFFER) & first)
     return both.select(F.col("node").alias("a"), "b")
 
 
@@ -229,13 +231,13 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     # What the stars have left open: texts of a bucket, its centre aside, that are still apart.
     rest = spread.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     apart = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
-    rest = rest.join(apart.where("lo <> hi").select("bucket", "n"), "bucket").join(keys.select("node", "sketch"), "node")
+    rest = rest.join(apart.where("lo <> hi").select("bucket", "n"), "bucket").join(keys, "node")
     rest = stored(rest)
-    few = rest.where(F.col("n") <= FEW).select("bucket", "node", "root", "sketch")
+    few = rest.where(F.col("n") <= FEW).select("bucket", "node", "root", "sketch", "bands")
     near = _apart(few, ["bucket"])
-    rarest = rest.where(F.col("n") > FEW).join(texts, "node").select("bucket", "node", "root", "sketch", "text").mapInArrow(
+    rarest = rest.where(F.col("n") > FEW).join(texts, "node").select("bucket", "node", "root", "sketch", "bands", "text").mapInArrow(
         partial(_prefixes, weights=weights, threshold=threshold),
-        "bucket bigint, node binary, root binary, sketch array<bigint>, key bigint",
+        "bucket bigint, node binary, root binary, sketch array<bigint>, bands array<bigint>, key bigint",
     )
     more = near.unionByName(_apart(stored(rarest), ["bucket", "key"])).distinct().join(pairs, ["a", "b"], "left_anti")
     late = _links(stored(more), texts, weights, threshold)

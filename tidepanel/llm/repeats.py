@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidepanel.llm.common import flat, mixed, pieces, prefix_hash, read, span_hash, stored
 
 LENGTH, GRAM = 50, 24
-PART_BYTES = 24 << 20  # of text per group of names
-FLUSH = 3_000_000  # names or segment bytes / 16 that a task holds before it passes them on
+PART_BYTES = 6 << 20  # of text per group of names
+FLUSH = 1_000_000  # names, or a quarter of the segment bytes, that a task holds before it passes them on
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -172,7 +172,7 @@ def _segments(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.Reco
             at = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(length.sum())
             held.append((name, ids[row], prints[row], (first - offsets[row]).astype("<i8"), length, data[at]))
             n += int(length.sum())
-        if n >= FLUSH * 8:
+        if n >= FLUSH * 4:
             yield from passed()
             held, n = [], 0
     if n:
