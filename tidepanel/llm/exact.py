@@ -17,7 +17,8 @@ from tidepanel.llm.common import lower_ascii, read, stored
 
 SHARD = 4096
 PER_BUCKET = 3
-TRIES = 1 << 14
+TRIES = 1 << 16
+PRIME = 4294967291  # the largest below 2^32
 
 
 def digest(text: Column) -> Column:
@@ -34,32 +35,27 @@ def _part(k: int) -> Column:
 
 
 def displaced(bucket: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Displacements (p, q) per key, equal within a bucket, such that (a + p*b + q) mod n are 0..n-1 in some order."""
+    """Displacements (p, q) per key, equal within a bucket: ((a + p*b) mod PRIME + q) mod n are 0..n-1 in some order."""
     n = len(bucket)
     free = np.ones(n, bool)
     p, q = np.zeros(n, np.int64), np.zeros(n, np.int64)
     order = np.argsort(bucket, kind="stable")
     groups = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
-    step = np.arange(256)
+    step = np.arange(min(n, 256))
     for keys in sorted(groups, key=len, reverse=True):
-        if len(keys) == 1:
-            q[keys] = (np.argmax(free) - a[keys]) % n
+        for t in range(TRIES):
+            at = ((a[keys] + t * b[keys]) % PRIME)[:, None] + step + t
+            at %= n
+            if len(keys) == 1:
+                p[keys], q[keys] = t, (np.argmax(free) - at[0, 0] + t) % n
+                break
+            good = free[at].all(0) & (np.diff(np.sort(at, 0), axis=0) > 0).all(0)
+            if good.any():
+                p[keys], q[keys] = t, (np.argmax(good) + t) % n
+                break
         else:
-            for t in range(TRIES):
-                base = a[keys] + (t % n) * b[keys]
-                at = (base[:, None] + (t // n * 256 + step)[None, :] + t * 131) % n
-                good = free[at].all(0)
-                if good.any():
-                    for k in np.flatnonzero(good):
-                        if len(set(at[:, k])) == len(keys):
-                            p[keys], q[keys] = t % n, (t // n * 256 + k + t * 131) % n
-                            break
-                    else:
-                        continue
-                    break
-            else:
-                raise ValueError("no displacement found for a bucket")
-        free[(a[keys] + p[keys] * b[keys] + q[keys]) % n] = False
+            raise ValueError("no displacement found for a bucket")
+        free[((a[keys] + p[keys] * b[keys]) % PRIME + q[keys]) % n] = False
     return p, q
 
 
@@ -68,7 +64,7 @@ def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     parts = [pdf.text_sha256.str.slice(8 * k, 8 * k + 8).map(lambda x: int(x, 16)).to_numpy(np.int64) for k in (1, 2, 3)]
     bucket = parts[0] % (n // PER_BUCKET + 1)
     p, q = displaced(bucket, parts[1], parts[2])
-    slot = (parts[1] + p * parts[2] + q) % n
+    slot = ((parts[1] + p * parts[2]) % PRIME + q) % n
     return pd.DataFrame({
         "shard": pdf.shard, "n": n, "bucket": bucket, "p": p, "q": q, "slot": slot, "digest": pdf.text_sha256, "winner": pdf.winner,
     })
@@ -89,7 +85,7 @@ def lookup(rows: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     seeds = index.select("shard", "bucket", "p", "q").distinct()
     at = rows.withColumn("shard", _part(0) % shards).join(sizes, "shard", "left")
     at = at.withColumn("bucket", _part(1) % (F.floor(F.col("n") / PER_BUCKET) + 1)).join(seeds, ["shard", "bucket"], "left")
-    at = at.withColumn("slot", (_part(2) + F.col("p") * _part(3) + F.col("q")) % F.col("n"))
+    at = at.withColumn("slot", ((_part(2) + F.col("p") * _part(3)) % PRIME + F.col("q")) % F.col("n"))
     found = at.join(index.select("shard", "slot", "digest", "winner"), ["shard", "slot"], "left")
     member = F.coalesce(F.col("digest") == F.col("text_sha256"), F.lit(False))
     return found.select(
