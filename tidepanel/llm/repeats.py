@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidepanel.llm.common import flat, mixed, pieces, prefix_hash, read, span_hash, stored
 
 LENGTH, GRAM = 50, 24
-PART_BYTES = 6 << 20  # of text per group of names
-FLUSH = 1_000_000  # names, or a quarter of the segment bytes, that a task holds before it passes them on
+PART_BYTES = 4 << 20  # of text per group of names
+FLUSH = 500_000  # names, or a quarter of the segment bytes, that a task holds before it passes them on
 NO_ID = np.iinfo(np.int64).max
 
 
