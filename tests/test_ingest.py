@@ -91,6 +91,27 @@ def test_stream_is_idempotent(spark, tmp_path):
     assert scan_base(spark, root, "currencies").count() == 2
 
 
+def test_late_feed_completes_its_day(spark, tmp_path):
+    landing, root, state = tmp_path / "landing", str(tmp_path / "tables"), str(tmp_path / "state")
+    land(landing, "stock", "a.json", [stock("AAA", "2024-01-02", 5.0), stock("AAA", "2024-01-03", 6.0)])
+    (landing / "index").mkdir()
+    ingest_summaries(spark, str(landing), root, state).awaitTermination()
+    assert scan_base(spark, root, "stock_data").count() == 0
+    land(landing, "index", "b.json", [index("COMPOSITE", "2024-01-02")])
+    ingest_summaries(spark, str(landing), root, state).awaitTermination()
+    assert [(r["timestamp"].day, r["close"]) for r in scan_base(spark, root, "stock_data").collect()] == [(2, 5.0)]
+    assert counts(spark, root) == {"time_dimensions": 2, "stock_profiles": 1, "stock_data": 1, "index_data": 1}
+
+
+def test_first_of_differing_duplicates_in_any_partitioning(spark):
+    rows = spark.range(2000).selectExpr("id % 7 AS k", "cast(null AS string) AS s", "id AS v", "-id AS t")
+    empty = rows.limit(0)
+    for n in (1, 3, 8):
+        got = insert_ignore(empty, rows.repartition(n), "k", "t")
+        assert sorted((r["k"], r["v"]) for r in got.collect()) == sorted((v % 7, v) for v in range(1993, 2000))
+    assert sorted(r["v"] for r in insert_ignore(empty, rows.repartition(5), "k").collect()) == list(range(7))
+
+
 def test_insert_and_upserts(spark):
     old = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, t int")
     new = spark.createDataFrame([(2, "x", 2), (3, "c", 2), (3, "c", 2)], "k int, v string, t int")

@@ -34,15 +34,28 @@ def days_to_request(seen: DataFrame, now: datetime, *, back: int = 800, ts: str
     return missing_days(seen, ts=ts, start=end - timedelta(days=back), end=end)
 
 
-def insert_ignore(existing: DataFrame, incoming: DataFrame, key: Keys) -> DataFrame:
-    """Rows to append: one per new key."""
+def first_rows(df: DataFrame, key: Keys, order: Keys = ()) -> DataFrame:
+    """One row per key: the least by ``order`` and then by the other columns, so that reruns and other partitionings
+    agree. Kept by aggregation, so that a hot key is reduced before the shuffle."""
     keys = key_list(key)
-    return incoming.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    lead = [c for c in key_list(order) if c in rest]
+    row = F.struct(*lead, *[c for c in rest if c not in lead])
+    least = df.groupBy(*keys).agg(F.min(row).alias("_row"))
+    return least.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def upsert_first(existing: DataFrame, incoming: DataFrame, key: Keys) -> DataFrame:
+def insert_ignore(existing: DataFrame, incoming: DataFrame, key: Keys, order: Keys = ()) -> DataFrame:
+    """Rows to append: one per new key, the first by ``order`` and then by the other columns."""
+    keys = key_list(key)
+    return first_rows(incoming, keys, order).join(existing.select(*keys), keys, "left_anti").select(*incoming.columns)
+
+
+def upsert_first(existing: DataFrame, incoming: DataFrame, key: Keys, order: Keys = ()) -> DataFrame:
     """Whole table after an upsert in which the stored row wins."""
-    return existing.unionByName(insert_ignore(existing, incoming, key))
+    return existing.unionByName(insert_ignore(existing, incoming, key, order))
 
 
 def upsert_latest(existing: DataFrame, incoming: DataFrame, key: Keys, version: str) -> DataFrame:

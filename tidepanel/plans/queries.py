@@ -526,7 +526,8 @@ def _stored_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 @query
 def insert_ignore_(spark: SparkSession, sf: str) -> DataFrame:
     existing, orders = _stored_orders(spark, sf)
-    return neat(insert_ignore(existing, orders.unionByName(orders), "o_orderkey"))
+    dearer = orders.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    return neat(insert_ignore(existing, dearer.unionByName(orders), "o_orderkey", "o_totalprice"))
 
 
 @query

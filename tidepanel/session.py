@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,10 +45,32 @@ def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Delete every table written by this session and drop its cached relations."""
+    _delete_tables(spark)
+    spark.catalog.clearCache()
+
+
+@contextmanager
+def own_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables materialised inside go to a folder of their own, which is deleted at the end; others stay."""
+    outer = spark.conf.get(_FOLDER_KEY, None)
+    spark.conf.unset(_FOLDER_KEY)
+    try:
+        yield
+    finally:
+        _delete_tables(spark)
+        if outer:
+            spark.conf.set(_FOLDER_KEY, outer)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def _delete_tables(spark: SparkSession) -> None:
     folder = spark.conf.get(_FOLDER_KEY, None)
     if folder:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
         spark.conf.unset(_FOLDER_KEY)
-    spark.catalog.clearCache()

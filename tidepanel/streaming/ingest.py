@@ -1,38 +1,68 @@
 """Incremental ingest of landed JSON files into parquet base tables.
 
 Files may come late or twice: every write is an append of keys not yet stored, so replaying a file or a whole
-micro-batch changes nothing. One query per table set must be the only writer of its tables.
+micro-batch changes nothing. Bars are first appended to staging tables, one per feed and partitioned by day; a day is
+loaded from these as soon as both feeds have rows for it, in whichever batches they came. One query per table set must be
+the only writer of its tables.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidepanel.operators.ingest import (
     both_present, dimension_rows, insert_ignore, nulls_to_zero, referenced,
 )
-from tidepanel.session import materialise
+from tidepanel.session import exists, materialise, own_tables
 from tidepanel.sources.landed import index_rows, page_schema, rate_rows, stock_rows
 from tidepanel.sources.schema import INDEX_VALUES, PRIMARY_KEYS, STOCK_VALUES, TABLES
 
 
 def stored(spark: SparkSession, root: str, name: str) -> DataFrame:
-    try:
-        return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
-    except AnalysisException:
+    """A base table, empty as long as nothing has been written to it."""
+    if not exists(spark, f"{root}/{name}"):
         return spark.createDataFrame([], TABLES[name])
+    return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
+
+
+def _of_span(known: DataFrame, rows: DataFrame, ts: str) -> DataFrame:
+    """Stored rows that new ones can meet: those from the first to the last of their times (two values are fetched)."""
+    low, high = rows.agg(F.min(ts), F.max(ts)).first()
+    return known.where(F.col(ts).between(F.lit(low), F.lit(high))) if low is not None else known.limit(0)
 
 
 def append_new(spark: SparkSession, root: str, name: str, rows: DataFrame) -> None:
     """Append the rows whose key is not stored yet."""
     typed = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in TABLES[name].fields])
+    keys, known = PRIMARY_KEYS[name], stored(spark, root, name)
+    if "timestamp" in keys:
+        known = _of_span(known, typed, "timestamp")
     # evaluated before the write: the files of the table being read must not change under the query
-    fresh = materialise(insert_ignore(stored(spark, root, name), typed, PRIMARY_KEYS[name]))
+    fresh = materialise(insert_ignore(known, typed, keys))
     fresh.write.mode("append").parquet(f"{root}/{name}")
 
 
+def staged(spark: SparkSession, root: str, kind: str, rows: DataFrame) -> DataFrame:
+    """Add the rows of a feed to its staging table; returns all that this holds for the days from their first to last."""
+    path, keys = f"{root}/landed_{kind}", [f"{kind}_profile", "timestamp"]
+    daily = rows.where("timestamp IS NOT NULL").withColumn("day", F.to_date("timestamp"))
+
+    def known() -> DataFrame:
+        return spark.read.schema(daily.schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], daily.schema)
+
+    fresh = materialise(insert_ignore(_of_span(known(), daily, "day"), daily, keys))
+    fresh.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)
+    return known()
+
+
+def staged_days(spark: SparkSession, root: str, stock: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stage both feeds of a batch; returns whatever is staged, by this or earlier batches, for the days of the batch."""
+    days = materialise(stock.select("timestamp").union(index.select("timestamp")).select(F.to_date("timestamp").alias("day")).distinct())
+    both = staged(spark, root, "stock", stock), staged(spark, root, "index", index)
+    return tuple(_of_span(side, days, "day").join(days, "day", "left_semi").drop("day") for side in both)
+
+
 def load_summaries(spark: SparkSession, root: str, stock: DataFrame, index: DataFrame) -> None:
     """Load bars of one batch: calendar, dimensions, then facts of days for which both feeds have rows."""
     append_new(spark, root, "time_dimensions", stock.select("timestamp").union(index.select("timestamp")).distinct())
@@ -60,27 +90,26 @@ def _stream(spark: SparkSession, folder: str, kind: str) -> DataFrame:
 def ingest_summaries(spark: SparkSession, landing: str, root: str, state: str) -> StreamingQuery:
     """Load the files in ``landing/stock`` and ``landing/index`` that the query state has not seen.
 
-    The two feeds of a day land together; they are read as one stream so that a micro-batch holds both. A date
-    (yyyyMMdd) in a file name marks that day as requested, even when the file holds no rows.
+    The two feeds are read as one stream; a day is loaded by the batch that completes it. A date (yyyyMMdd) in a file name marks that day as requested, even when the file holds no rows.
     """
 
     def feed(kind: str) -> DataFrame:
-        return _stream(spark, f"{landing}/{kind}", kind).selectExpr(
-            "to_json(struct(*)) AS page", f"'{kind}' AS kind", "_metadata.file_name AS file"
-        )
+        other = "index" if kind == "stock" else "stock"
+        page = F.struct("*").alias(kind), F.lit(None).cast(page_schema(other)).alias(other)
+        pages = _stream(spark, f"{landing}/{kind}", kind)
+        return pages.select(*page, F.col("_metadata.file_name").alias("file")).select("stock", "index", "file")
 
     def load(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        pages = materialise(batch)
+        with own_tables(session):
+            pages = materialise(batch)
 
-        def typed(kind: str) -> DataFrame:
-            parsed = pages.where(pages.kind == kind)
-            ddl = page_schema(kind).simpleString()
-            return parsed.selectExpr(f"from_json(page, '{ddl}') AS p").select("p.*")
+            def typed(kind: str) -> DataFrame:
+                return pages.where(pages[kind].isNotNull()).select(f"{kind}.*")
 
-        requested = pages.selectExpr(r"try_to_timestamp(regexp_extract(file, '([0-9]{8})', 1), 'yyyyMMdd') AS timestamp")
-        append_new(session, root, "time_dimensions", requested.where("timestamp IS NOT NULL").distinct())
-        load_summaries(session, root, stock_rows(typed("stock")), index_rows(typed("index")))
+            requested = pages.selectExpr(r"try_to_timestamp(regexp_extract(file, '([0-9]{8})', 1), 'yyyyMMdd') AS timestamp")
+            append_new(session, root, "time_dimensions", requested.where("timestamp IS NOT NULL").distinct())
+            load_summaries(session, root, *staged_days(session, root, stock_rows(typed("stock")), index_rows(typed("index"))))
 
     return (
         feed("stock").unionByName(feed("index"))
@@ -95,8 +124,9 @@ def ingest_rates(
     spark: SparkSession, landing: str, root: str, state: str, *, primary: str = "USD", secondary: str = "IDR"
 ) -> StreamingQuery:
     def load(batch: DataFrame, _: int) -> None:
-        rows = materialise(rate_rows(batch, primary=primary, secondary=secondary))
-        load_rates(rows.sparkSession, root, rows)
+        with own_tables(batch.sparkSession):
+            rows = materialise(rate_rows(batch, primary=primary, secondary=secondary))
+            load_rates(batch.sparkSession, root, rows)
 
     return (
         _stream(spark, f"{landing}/rate", "rate")
