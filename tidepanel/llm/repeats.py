@@ -104,7 +104,10 @@ def _joined(table: pa.Table, **kinds: str) -> list[np.ndarray]:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Names of the group that documents with different ids have, by document."""
+    """Names of the group that documents with different ids have, by document: their low 32 bits.
+
+    They only say which windows travel on, where all bytes are compared, so one too many costs a segment and no result.
+    """
     name, ids, prints = _joined(table, name="<u8", id="<i8", print="<i8")
     order = np.lexsort((ids, name))
     name, ids, prints = name[order], ids[order], prints[order]
@@ -118,8 +121,8 @@ def _shared(table: pa.Table) -> pa.Table:
     new = np.ones(len(ids), bool)
     new[1:] = (ids[1:] != ids[:-1]) | (prints[1:] != prints[:-1])
     at = np.flatnonzero(new)
-    cut = np.append(at, len(ids)) * 8
-    blobs = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(name))])
+    cut = np.append(at, len(ids)) * 4
+    blobs = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(name.astype("<u4"))])
     return pa.table({"id": ids[at], "p": prints[at], "names": blobs.cast(pa.binary())})
 
 
@@ -142,8 +145,8 @@ def _segments(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.Reco
         if later.any():
             gone = np.flatnonzero(later)
             yield _packed(np.full(len(gone), -1), {
-                "name": name[gone], "id": ids[gone], "print": prints[gone],
-                "start": start[gone], "length": length[gone].astype("<i4"), "body": np.zeros(len(gone), np.uint8),
+                "id": ids[gone], "print": prints[gone], "start": start[gone], "length": length[gone].astype("<i4"),
+                "body": np.zeros(len(gone), np.uint8),
             })
         keep = np.flatnonzero(~later)
         if not len(keep):
@@ -153,7 +156,7 @@ def _segments(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.Reco
         part = np.sort(part, kind="stable")
         size = length[keep]
         at = np.repeat(begin[keep] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        batch = _packed(part, {"name": name[keep], "id": ids[keep], "print": prints[keep], "start": start[keep], "length": size.astype("<i4")})
+        batch = _packed(part, {"id": ids[keep], "print": prints[keep], "start": start[keep], "length": size.astype("<i4")})
         bodies = _packed(np.repeat(part, size), {"body": body[at]})
         yield pa.RecordBatch.from_arrays([*batch.columns, bodies.column("body")], names=[*batch.schema.names, "body"])
 
@@ -162,15 +165,15 @@ def _segments(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.Reco
         data, offsets = flat(batch.column("text"))
         name, first, behind, row = names(data, offsets)
         lists = batch.column("names").fill_null([]).to_pylist()
-        owner = np.repeat(np.arange(batch.num_rows, dtype=np.uint64), [sum(map(len, x)) // 8 for x in lists])
-        flags = np.frombuffer(b"".join(y for x in lists for y in x), "<u8")
+        owner = np.repeat(np.arange(batch.num_rows, dtype=np.uint64), [sum(map(len, x)) // 4 for x in lists])
+        flags = np.frombuffer(b"".join(y for x in lists for y in x), "<u4").astype(np.uint64)
         keyed = lambda h, r: mixed(h + (r.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-        got = np.isin(keyed(name, row), keyed(flags, owner))
+        got = np.isin(keyed(name & np.uint64(0xFFFFFFFF), row), keyed(flags, owner))
         name, first, behind, row = name[got], first[got], behind[got], row[got]
         if len(name):
             length = behind - first + LENGTH - 1
             at = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(length.sum())
-            held.append((name, ids[row], prints[row], (first - offsets[row]).astype("<i8"), length, data[at]))
+            held.append((name, ids[row], prints[row], (first - offsets[row]).astype("<i4"), length, data[at]))
             n += int(length.sum())
         if n >= FLUSH * 4:
             yield from passed()
@@ -200,8 +203,8 @@ def previous_factors(text: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> n
 
 def _spans(table: pa.Table) -> pa.Table:
     """Spans of the group's segments that an earlier document has too."""
-    ids, prints, start, length = _joined(table, id="<i8", print="<i8", start="<i8", length="<i4")
-    length = length.astype(np.int64)
+    ids, prints, start, length = _joined(table, id="<i8", print="<i8", start="<i4", length="<i4")
+    start, length = start.astype(np.int64), length.astype(np.int64)
     if table.column("part")[0].as_py() < 0:
         first, behind, row = start, start + length, np.arange(len(ids))
     else:
@@ -265,7 +268,7 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     by_doc = shared.groupBy("id", "p").agg(F.collect_list("names").alias("names"))
     id_ = F.coalesce("doc_id", F.lit(int(NO_ID)))
     with_names = plain.withColumn("id", id_).join(by_doc, ["id", "p"]).select("doc_id", "p", "text", "names")
-    schema = "part int, name binary, id binary, print binary, start binary, length binary, body binary"
+    schema = "part int, id binary, print binary, start binary, length binary, body binary"
     spans = stored(dealt(with_names.mapInArrow(partial(_segments, parts=parts), schema)).applyInArrow(_spans, "id long, p long, first long, behind long"))
     per_doc = spans.groupBy("id", "p").agg(F.collect_list(F.struct("first", "behind")).alias("spans"))
     joined = plain.withColumn("id", id_).join(per_doc, ["id", "p"], "left").select("doc_id", "text", "spans")
