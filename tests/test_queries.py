@@ -69,6 +69,22 @@ def test_scans_are_pruned_and_filters_pushed(spark, sf):
     assert "l_discount" not in closes and "l_returnflag" not in closes
 
 
+@pytest.mark.parametrize("name", ["market_context", "split_rows", "peak_drawdown"])
+def test_market_series_read_lots_once(spark, sf, name):
+    optimised = queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert optimised.count("l_shipdate") > 0 and optimised.count("Relation [l_") == 1
+
+
+def test_profiles_of_the_market_series(spark, sf):
+    every = index_series(spark, sf)
+    for profile in ("COMPOSITE", "FRANCE"):
+        want = {r["d"]: r for r in every.where(every["index_profile"] == profile).collect()}
+        got = index_series(spark, sf, profile).collect()
+        assert len(got) == len(want)
+        for row in got:
+            assert row["value"] == pytest.approx(want[row["d"]]["value"]) and row["highest"] == want[row["d"]]["highest"]
+
+
 def test_feature_windows_share_one_exchange(spark, sf):
     text = plan(ranking_panel.entity_features(bars(spark, sf)))
     assert text.count("Exchange hashpartitioning") == 2  # bars per (entity, day), then entity

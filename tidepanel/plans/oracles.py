@@ -44,7 +44,8 @@ def trailing(agg: str, c: str, n: int, entity: str = "entity") -> str:
 
 
 def drop_from_high(c: str, n: int | None, entity: str = "entity") -> str:
-    return f"({div(c, f'max({c}) {over(entity, chr(97) + 'll' if n is None else 1 - n)}')} - 1)"
+    low = "all" if n is None else 1 - n
+    return f"({div(c, f'max({c}) {over(entity, low)}')} - 1)"
 
 
 PRICES = {"open_price", "close", "high", "low", "bid", "offer", "previous", "target"}
@@ -651,7 +652,7 @@ ORACLES: dict[str, str] = {
     + ", ".join(BARS + INDEX[1:] + RISK)
     + """ SELECT 'risk.non_empty' AS "check", CAST(count(*) = 0 AS BIGINT) AS violations FROM risk
         UNION ALL SELECT 'risk.exposure_bounds', count(*) FROM risk WHERE NOT coalesce(risk_exposure BETWEEN 0 AND 1, false)
-        UNION ALL SELECT 'risk.known_state', count(*) FROM risk WHERE risk_state NOT IN ('RISK_ON', 'NEUTRAL')
+        UNION ALL SELECT 'risk.known_state', count(*) FROM risk WHERE risk_state NOT IN ('RISK_ON', 'NEUTRAL', 'RISK_OFF')
         UNION ALL SELECT 'risk.quantile_present', count(*) FROM risk WHERE vol_limit IS NULL
         UNION ALL SELECT 'bars.non_empty', CAST(count(*) = 0 AS BIGINT) FROM bars
         UNION ALL SELECT 'bars.flow_within_volume', count(*) FROM bars WHERE foreign_buy >= volume

@@ -31,7 +31,7 @@ from tidepanel.operators.windows import (
 )
 from tidepanel.plans import daily_store as store, fitted, ranking_panel as ranking, risk_panel, strategy
 from tidepanel.session import materialise
-from tidepanel.sources.adapters import bars, index_series, predictions, rate_series, table
+from tidepanel.sources.adapters import COMPOSITE, bars, index_series, predictions, rate_series, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -155,7 +155,7 @@ def gap_repair(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _market(spark: SparkSession, sf: str) -> DataFrame:
-    return ranking.market_context(index_series(spark, sf), rate_series(spark, sf))
+    return ranking.market_context(index_series(spark, sf, COMPOSITE), rate_series(spark, sf))
 
 
 def _joined(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,13 +190,13 @@ def excess_returns(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def left_join_index(spark: SparkSession, sf: str) -> DataFrame:
     rets = lagged_return(bars(spark, sf).select(*KEYS, "close"), "close", (1, 3))
-    return neat(store.with_index(rets, store.index_returns(index_series(spark, sf))).drop("close"))
+    return neat(store.with_index(rets, store.index_returns(index_series(spark, sf, COMPOSITE))).drop("close"))
 
 
 @query
 def rolling_beta(spark: SparkSession, sf: str) -> DataFrame:
     rets = lagged_return(bars(spark, sf).select(*KEYS, "close"), "close", (1, 3))
-    joined = store.with_index(rets, store.index_returns(index_series(spark, sf)))
+    joined = store.with_index(rets, store.index_returns(index_series(spark, sf, COMPOSITE)))
     return neat(joined.select(*KEYS, beta("ret_1d", "index_ret_1d", 60, timeline()).alias("beta_60d")))
 
 
@@ -259,12 +259,12 @@ def class5(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _store(spark: SparkSession, sf: str) -> DataFrame:
-    return materialise(store.feature_store(bars(spark, sf), index_series(spark, sf), WHOLE))
+    return materialise(store.feature_store(bars(spark, sf), index_series(spark, sf, COMPOSITE), WHOLE))
 
 
 @query
 def feature_store_daily(spark: SparkSession, sf: str) -> DataFrame:
-    features = store.feature_store(bars(spark, sf), index_series(spark, sf), StoreParams())
+    features = store.feature_store(bars(spark, sf), index_series(spark, sf, COMPOSITE), StoreParams())
     return neat(features.select(*KEYS, *ALPHA_FEATURES, "rel_ret_3d", "beta_60d", "fwd_ret_3d", "fwd_ret_5d"))
 
 
@@ -291,7 +291,7 @@ def crash_label(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def risk_dataset(spark: SparkSession, sf: str) -> DataFrame:
-    return neat(store.risk_dataset(index_series(spark, sf)))
+    return neat(store.risk_dataset(index_series(spark, sf, COMPOSITE)))
 
 
 @query
@@ -320,8 +320,7 @@ def split_entity_tail_(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _state(spark: SparkSession, sf: str) -> DataFrame:
-    composite = index_series(spark, sf).where(F.col("index_profile") == "COMPOSITE")
-    return split_rows(risk_panel.market_state(composite), 0.8, entity="index_profile")
+    return split_rows(risk_panel.market_state(index_series(spark, sf, COMPOSITE)), 0.8, entity="index_profile")
 
 
 @query
@@ -336,7 +335,7 @@ def lower_quantiles_(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def robust_scale(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = risk_panel.scaled_state(index_series(spark, sf))
+    scaled = risk_panel.scaled_state(index_series(spark, sf, COMPOSITE))
     return neat(scaled.select("d", "is_val", *STATE_FEATURES, "crash", "regime"))
 
 
@@ -413,9 +412,9 @@ def rolling_quantile_(spark: SparkSession, sf: str) -> DataFrame:
     return neat(features.select("index_profile", "d", "vol_10d", rolling_quantile("vol_10d", 0.95, 252, 60, w).alias("vol_limit")))
 
 
-def _risk(spark: SparkSession, sf: str) -> DataFrame:
+def _risk(spark: SparkSession, sf: str, profile: str | None = None) -> DataFrame:
     """Risk state per (series, day), from a logistic score of the three-day return."""
-    features = store.series_features(index_series(spark, sf)).dropna(subset=["ret_5d", "vol_10d"])
+    features = store.series_features(index_series(spark, sf, profile)).dropna(subset=["ret_5d", "vol_10d"])
     scored = features.withColumn("risk_prob", 1 / (1 + F.exp(-50 * F.col("ret_3d"))))
     return risk_state(scored, entity="index_profile")
 
@@ -460,8 +459,7 @@ def _signals(rows: DataFrame) -> DataFrame:
 
 
 def _daily_risk(spark: SparkSession, sf: str) -> DataFrame:
-    composite = _risk(spark, sf).where(F.col("index_profile") == "COMPOSITE")
-    return materialise(composite.select("d", "risk_state", "risk_exposure"))
+    return materialise(_risk(spark, sf, COMPOSITE).select("d", "risk_state", "risk_exposure"))
 
 
 @query
@@ -562,7 +560,7 @@ def quality_report(spark: SparkSession, sf: str) -> DataFrame:
                 states,
                 {
                     "exposure_bounds": dq.outside("risk_exposure", 0.0, 1.0),
-                    "known_state": dq.not_among("risk_state", ["RISK_ON", "NEUTRAL"]),
+                    "known_state": dq.not_among("risk_state", ["RISK_ON", "NEUTRAL", "RISK_OFF"]),
                     "quantile_present": dq.not_null("vol_limit"),
                 },
             ).withColumn("check", F.concat(F.lit("risk."), "check")),
@@ -589,12 +587,12 @@ def json_props(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def risk_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    return fitted.risk_on(store.risk_dataset(index_series(spark, sf), WHOLE))["scores"]
+    return fitted.risk_on(store.risk_dataset(index_series(spark, sf, COMPOSITE), WHOLE))["scores"]
 
 
 @query
 def risk_gbt_importance(spark: SparkSession, sf: str) -> DataFrame:
-    return fitted.risk_on(store.risk_dataset(index_series(spark, sf), WHOLE))["importance"]
+    return fitted.risk_on(store.risk_dataset(index_series(spark, sf, COMPOSITE), WHOLE))["importance"]
 
 
 @query
@@ -621,4 +619,4 @@ def ensemble_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def market_models(spark: SparkSession, sf: str) -> DataFrame:
-    return fitted.market_models(risk_panel.scaled_state(index_series(spark, sf)))["scores"]
+    return fitted.market_models(risk_panel.scaled_state(index_series(spark, sf, COMPOSITE)))["scores"]

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidepanel.functions.scalar import ratio
 from tidepanel.operators.relate import with_constants
 
-_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"]
+COMPOSITE = "COMPOSITE"
+_ORDER = ["l_orderkey","l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,21 +98,29 @@ def _series_columns(days: DataFrame) -> DataFrame:
     )
 
 
-def index_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index rows per (index_profile, d): one profile per nation and COMPOSITE over everything."""
+def index_series(spark: SparkSession, sf_dir: str, profile: str | None = None) -> DataFrame:
+    """Index rows per (index_profile, d): one profile per nation and COMPOSITE over everything, or ``profile`` alone.
+
+    Lots are read once: COMPOSITE is rolled up from the days of nations, and by itself it needs no nation at all.
+    """
     lots = _lots(spark, sf_dir)
     sums = [F.max("p").alias("high"), F.min("p").alias("low"), F.sum("qty").alias("volume"), F.sum("ext").alias("value")]
+    if profile == COMPOSITE:
+        return _series_columns(with_constants(lots.groupBy("d").agg(*sums), {"index_profile": COMPOSITE}))
+    merge = [
+        F.max("high").alias("high"), F.min("low").alias("low"), F.sum("volume").alias("volume"), F.sum("value").alias("value")
+    ]
     home = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("index_profile"))
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("name"))
+    if profile is not None:
+        nation = nation.where(F.col("name") == profile)
+    how = "left" if profile is None else "inner"  # lots without a nation count in COMPOSITE
     supplier_days = lots.groupBy("l_suppkey", "d").agg(*sums)
-    per_nation = (
-        supplier_days.join(home, "l_suppkey").join(nation, "s_nationkey").groupBy("index_profile", "d").agg(
-            F.max("high").alias("high"), F.min("low").alias("low"), F.sum("volume").alias("volume"),
-            F.sum("value").alias("value"),
-        )
-    )
-    whole = with_constants(lots.groupBy("d").agg(*sums), {"index_profile": "COMPOSITE"})
-    return _series_columns(whole).unionByName(_series_columns(per_nation))
+    nation_days = supplier_days.join(home.join(nation, "s_nationkey"), "l_suppkey", how).groupBy("name", "d").agg(*merge)
+    if profile is not None:
+        return _series_columns(nation_days.withColumnRenamed("name", "index_profile"))
+    both = F.explode(F.array_compact(F.array(F.col("name"), F.lit(COMPOSITE))))
+    return _series_columns(nation_days.withColumn("index_profile", both).groupBy("index_profile", "d").agg(*merge))
 
 
 def rate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
