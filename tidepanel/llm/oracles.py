@@ -108,3 +108,65 @@ FROM d LEFT JOIN k ON md5(array_to_string(l, ' ')) = k.known LEFT JOIN n USING (
 
 
 ORACLES["op1_licence_scan"] = _licences()
+
+# Bits of the checksum of a decimal id: every character's code, then eight shifts (-1).
+ORACLES["op11_merkle_manifest"] = """
+WITH RECURSIVE d AS (
+  SELECT *, coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-') AS f1,
+         coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS f23,
+         coalesce(octet_length(encode(text)) || ':' || text, '-') AS f5,
+         coalesce(xor(list_reduce([4294967295] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: [unicode(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+           lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 7 = 0, false) AS hit
+  FROM documents),
+h AS (SELECT doc_id, lang, sha256(f1 || f23 || coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') || f5) AS leaf,
+             sha256(f1 || f23 || coalesce(length((n_chars + hit::INT)::VARCHAR) || ':' || (n_chars + hit::INT), '-') || f5) AS given FROM d),
+g AS (SELECT lang, (row_number() OVER (ORDER BY lang NULLS FIRST) - 1)::BIGINT AS tree, n FROM (SELECT lang, count(*) AS n FROM h GROUP BY lang) x),
+l AS (SELECT doc_id, leaf, given, tree, n, (row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1)::BIGINT AS pos
+      FROM h JOIN g ON h.lang IS NOT DISTINCT FROM g.lang),
+low AS (SELECT tree, 0 AS level, pos, leaf AS hash, n FROM l
+        UNION ALL
+        SELECT tree, level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (n + 1) // 2 FROM low WHERE n > 1
+        GROUP BY tree, level, pos // 2, n),
+s AS (SELECT tree, hash AS subroot, max(level) OVER () AS top FROM low WHERE n = 1),
+high AS (SELECT 0 AS level, tree AS pos, subroot AS hash, (SELECT count(*) FROM g) AS n FROM s
+         UNION ALL
+         SELECT level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (n + 1) // 2 FROM high WHERE n > 1
+         GROUP BY level, pos // 2, n),
+nodes AS (SELECT tree, level, pos, hash, n FROM low WHERE n > 1
+          UNION ALL SELECT -1, level, pos, hash, n FROM high),
+climb AS (SELECT tree AS home, pos AS spot, tree, 0 AS level, pos, n, given AS folded, '' AS siblings FROM l
+          UNION ALL
+          SELECT home, spot,
+                 CASE WHEN c.n = 1 THEN -1 ELSE c.tree END, CASE WHEN c.n = 1 THEN 0 ELSE c.level + 1 END,
+                 CASE WHEN c.n = 1 THEN c.tree ELSE c.pos // 2 END,
+                 CASE WHEN c.n = 1 THEN (SELECT count(*) FROM g) ELSE (c.n + 1) // 2 END,
+                 CASE WHEN c.n = 1 THEN folded WHEN o.hash IS NULL THEN sha256(folded)
+                      WHEN c.pos % 2 = 1 THEN sha256(o.hash || folded) ELSE sha256(folded || o.hash) END,
+                 CASE WHEN c.n = 1 THEN siblings ELSE siblings || coalesce(o.hash, '') END
+          FROM climb c LEFT JOIN nodes o ON c.n > 1 AND o.tree = c.tree AND o.level = c.level AND o.pos = xor(c.pos, 1)
+          WHERE c.tree >= 0 OR c.n > 1)
+SELECT l.doc_id, l.leaf, s.subroot, r.hash AS root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = r.hash AS verified
+FROM l JOIN s USING (tree) JOIN climb c ON c.home = l.tree AND c.spot = l.pos AND c.tree = -1 AND c.n = 1
+JOIN high r ON r.n = 1
+"""
+
+
+def _chat() -> str:
+    from tidepanel.llm.chat import ASSISTANT, END, PLANTED, START
+
+    safe = "regexp_replace({}, '<(\\\\*)\\|', '<\\\\\\1|', 'g')"
+    role = safe.format("replace(replace(coalesce(role, ''), '\\', '\\\\'), chr(10), '\\n')")
+    return f"""
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE '{ASSISTANT}' END, '{PLANTED}' FROM range(2) r(i)),
+f AS (SELECT *, '{START}' || {role} || chr(10) || {safe.format('text')} || '{END}' || chr(10) AS formatted FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, formatted)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = '{ASSISTANT}'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, formatted) FILTER (role = '{ASSISTANT}'), '')) AS loss_sha256,
+       sum(length(formatted))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
+ORACLES["op13_chat_formatting"] = _chat()
