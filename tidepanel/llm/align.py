@@ -23,11 +23,12 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidepanel.llm.common import CHUNK_BYTES, flat, pieces, read, stored
+from tidepanel.llm.common import flat, pieces, read, stored
 from tidepanel.llm.packing import Encoder
 
 LEFT, RIGHT = "byte_bpe_50k", "piece_bpe_32k"
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 RIGHT_BITS = 20  # a pair is (id of A) << RIGHT_BITS | (id of B)
 END_BITS = 32
 MARK = "▁"
@@ -238,6 +239,7 @@ def aligner(kind: pa.DataType, left: str, right: str, show: bool):
             if size >= BLOCK_BYTES:
                 yield block_rows(block, chunks, schema)
                 block, size, chunks = block + 1, 0, []
+                pa.default_memory_pool().release_unused()
         if chunks:
             yield block_rows(block, chunks, schema)
 
