@@ -1,5 +1,6 @@
 import json
-from datetime import date, datetime
+import time
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,10 +12,10 @@ from tidepanel.operators.ingest import (
 )
 from tidepanel.operators.relate import current_entities, first_of_last_dates, lookback, newest_only, with_context
 from tidepanel.session import materialise, release
-from tidepanel.sources.landed import index_rows, rate_rows, read_pages, stock_rows
+from tidepanel.sources.landed import faulty, index_rows, parsed, rate_rows, read_pages, sound, stock_rows
 from tidepanel.sources.schema import PRIMARY_KEYS, STOCK_VALUES, TABLES, landed_name
 from tidepanel.sources.tables import export, save_panel, scan, scan_base
-from tidepanel.streaming.ingest import ingest_rates, ingest_summaries
+from tidepanel.streaming.ingest import ingest_rates, ingest_summaries, quarantined, seen_days, unpaired_days
 
 
 def stock(code, day, close, delisted=""):
@@ -180,3 +181,68 @@ def test_sinks_and_materialised_tables(spark, tmp_path):
     release(spark)
     with pytest.raises(Exception):
         spark.read.parquet(kept.inputFiles()[0])
+
+
+def test_page_that_does_not_parse_is_quarantined_and_its_day_stays_missing(spark, tmp_path):
+    landing, root, state = tmp_path / "landing", str(tmp_path / "tables"), str(tmp_path / "state")
+    land(landing, "stock", "20240102.json", [stock("AAA", "2024-01-02", 5.0)])
+    land(landing, "index", "20240102.json", [index("COMPOSITE", "2024-01-02")])
+    for name, text in {
+        "20240103.json": "<html>too many requests</html>", "20240104.json": '{"message": "error"}', "20240105.json": "\n",
+        "20240106.json": '{"data": [{"Date": "2024-01-06T00:00:00"}]}', "20240107.json": '{"data": [{"StockCode": "AAA", "Date": "soon"}]}',
+    }.items():
+        (landing / "stock" / name).write_text(text)
+    for _ in range(2):  # a replay adds nothing
+        ingest_summaries(spark, str(landing), root, state).awaitTermination()
+        state += "_lost"
+    bad = {r["file"]: r["reason"] for r in quarantined(spark, root).collect()}
+    assert bad == {
+        "20240103.json": "unreadable", "20240104.json": "no items", "20240105.json": "no items",
+        "20240106.json": "item without code or day", "20240107.json": "item without code or day",
+    }
+    assert quarantined(spark, root).where("file = '20240103.json'").first()["value"] == "<html>too many requests</html>"
+    assert counts(spark, root) == {"time_dimensions": 1, "stock_profiles": 1, "stock_data": 1, "index_data": 1}
+    wanted = days_to_request(seen_days(spark, root), datetime(2024, 1, 4, 18), back=2)
+    assert [r["d"].day for r in wanted.orderBy("d").collect()] == [3, 4]
+
+
+def test_feed_that_never_comes_is_reported(spark, tmp_path):
+    landing, root, state = tmp_path / "landing", str(tmp_path / "tables"), str(tmp_path / "state")
+    wait = timedelta(seconds=1)
+    (landing / "index").mkdir(parents=True)
+
+    def run():
+        ingest_summaries(spark, str(landing), root, state, wait=wait).awaitTermination()
+
+    def reported():
+        return sorted((r["day"].day, r["kind"]) for r in unpaired_days(spark, root).collect())
+
+    land(landing, "stock", "20240102.json", [stock("AAA", "2024-01-02", 5.0)])
+    run()
+    assert reported() == []
+    time.sleep(1.5)
+    land(landing, "stock", "20240103.json", [stock("AAA", "2024-01-03", 6.0)])
+    land(landing, "index", "20240103.json", [index("COMPOSITE", "2024-01-03")])
+    run()
+    assert reported() == [(2, "stock")]  # its index page never came
+    assert [r["timestamp"].day for r in scan_base(spark, root, "stock_data").collect()] == [3]
+    wanted = days_to_request(seen_days(spark, root), datetime(2024, 1, 3, 18), back=1)
+    assert [r["d"].day for r in wanted.collect()] == [2]
+
+    land(landing, "index", "20240102_again.json", [index("COMPOSITE", "2024-01-02")])  # long after the report
+    run()
+    time.sleep(1.5)
+    land(landing, "stock", "20240104.json", [stock("AAA", "2024-01-04", 7.0)])
+    run()
+    assert reported() == []
+    assert sorted(r["timestamp"].day for r in scan_base(spark, root, "stock_data").collect()) == [2, 3]
+
+
+def test_read_pages_by_line_and_faults(spark, tmp_path):
+    good = json.dumps({"data": [stock("AAA", "2024-01-02", 5.0, "never")]})
+    (tmp_path / "pages.jsonl").write_text(f"{good}\nnot a page\n")
+    pages = read_pages(spark, str(tmp_path), "stock", lines=True)
+    assert [(r["stock_profile"], r["delisting_date"]) for r in stock_rows(sound(pages, "stock")).collect()] == [("AAA", None)]
+    assert [(r["kind"], r["reason"], r["value"]) for r in faulty(pages, "stock").collect()] == [("stock", "unreadable", "not a page")]
+    rates = spark.createDataFrame([('{"rates": {"2024-01-02": {"IDR": 1.0}}}', "a"), ('{"rates": {"x": {"IDR": 1.0}}}', "b"), ("{}", "c")], "value string, file string")
+    assert [r["reason"] for r in faulty(parsed(rates, "rate"), "rate").orderBy("file").collect()] == ["rate without a day", "no rates"]

@@ -136,6 +136,58 @@ def test_walk_forward_equals_a_daily_account(spark, seed):
         assert mine.drawdown.tolist() == pytest.approx(((mine.equity - peak) / peak).tolist())
 
 
+def flat_days(growths, hold):
+    """(position, equity) of the flat days of one account, one day at a time."""
+    i, equity, out = 0, 1.0, []
+    while i < len(growths):
+        out.append((i, equity))
+        if i + hold >= len(growths):
+            break
+        equity *= 1.0 if growths[i] is None else growths[i]
+        i += 1 if growths[i] is None else hold
+    return out
+
+
+def calendar_of(spark, growths):
+    """Calendar and cohorts of strategies whose growth per day is given (null: nothing bought); no marks."""
+    rows = [(s, i, len(g), x) for s, g in growths.items() for i, x in enumerate(g)]
+    both = spark.createDataFrame(rows, "strategy string, i int, n int, growth double").withColumn(
+        "d", F.date_add(F.lit(D), F.col("i"))
+    )
+    marks = spark.createDataFrame([], "strategy string, d date, mark_day date, mark double")
+    return both.drop("growth"), both.where("growth IS NOT NULL").select("strategy", "d", "growth"), marks
+
+
+@pytest.mark.parametrize("block_days", [1, 4, 7, 64])
+def test_account_in_blocks_equals_one_walk(spark, block_days):
+    rng = random.Random(block_days)
+    growths = {
+        f"s{k}": [None if rng.random() < 0.4 else rng.uniform(0.9, 1.1) for _ in range(n)] for k, n in enumerate([1, 2, 3, 4, 29, 64, 65, 200])
+    }
+    growths["never"] = [None] * 50
+    got = bt.equity_curve(*calendar_of(spark, growths), block_days=block_days).toPandas()
+    for s, g in growths.items():
+        mine = got[got.strategy == s].sort_values("d")
+        want = flat_days(g, BookParams().hold)
+        assert mine.d.tolist() == [D + timedelta(i) for i, _ in want]
+        assert mine.equity.tolist() == pytest.approx([e for _, e in want])
+
+
+def test_account_over_a_very_long_calendar(spark):
+    """200,000 days: no plan holds the calendar in one array, and the rounds grow with the logarithm of the blocks."""
+    n = 200_000
+    days = spark.range(n).select(
+        F.lit("s").alias("strategy"), F.date_add(F.lit(date(1600, 1, 1)), F.col("id").cast("int")).alias("d"), F.col("id").cast("int").alias("i"),
+        F.lit(n).alias("n"),
+    )
+    cohorts = days.where("i % 5 <> 0").select("strategy", "d", (1 + (F.col("i") % 7 - 3) / 1e4).alias("growth"))
+    marks = spark.createDataFrame([], "strategy string, d date, mark_day date, mark double")
+    got = bt.equity_curve(days, cohorts, marks).select(F.datediff("d", F.lit(date(1600, 1, 1))).alias("i"), "equity").toPandas().sort_values("i")
+    want = flat_days([1 + (i % 7 - 3) / 1e4 if i % 5 else None for i in range(n)], BookParams().hold)
+    assert got.i.tolist() == [i for i, _ in want]
+    assert got.equity.tolist() == pytest.approx([e for _, e in want], rel=1e-9)
+
+
 def test_performance_against_pandas(spark):
     rng = random.Random(3)
     values = [1.0]

@@ -7,8 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from tidepanel.plans.fitted import huber, risk_on, tree
-from tidepanel.config import StoreParams
+from tidepanel.models.boosted import BoostParams
+from tidepanel.plans.fitted import huber, model_rows, risk_on, tree
 from tidepanel.plans.daily_store import risk_dataset
 from tidepanel.plans.queries import neat
 from tidepanel.plans import ranking_panel
@@ -18,7 +18,9 @@ FAST = [
     "bars_daily", "simple_returns", "rolling_std_pop", "rolling_mean_spread", "market_context", "excess_returns",
     "left_join_index", "drop_warmup", "forward_targets", "ntile_label", "regime_label", "split_dates", "lower_quantiles",
     "robust_scale", "seq_latest", "pct_rank_avg", "combined_score", "rolling_quantile", "mad_delta", "capped_weights",
-    "perf_summary", "missing_days", "insert_ignore", "quality_report", "json_props",
+    "perf_summary", "missing_days", "insert_ignore", "quality_report", "json_props", "landed_stock", "landed_index", "landed_rates",
+    "quarantined_pages", "both_feeds", "dimension_rows", "unknown_state", "reunited_sets", "upsert_corrections", "panel_export",
+    "result_export", "fast_quantiles", "ranking_pairs", "last_n_dates", "panel_chain",
 ]
 
 
@@ -85,6 +87,32 @@ def test_profiles_of_the_market_series(spark, sf):
             assert row["value"] == pytest.approx(want[row["d"]]["value"]) and row["highest"] == want[row["d"]]["highest"]
 
 
+def lineitem_scans(df):
+    """Lineitem relations in the plan that is left when everything written before has been written."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("l_shipdate")
+
+
+@pytest.mark.parametrize("name", ["quality_report", "last_n_dates", "split_dates", "feature_store_daily", "panel_blocks"])
+def test_lineitem_is_scanned_once(spark, sf, name, monkeypatch):
+    from tidepanel import session
+    from tidepanel.sources import adapters
+
+    scans = []
+    monkeypatch.setattr(adapters, "table", lambda s, d, n: (scans.append(n), table(s, d, n))[1])
+    df = queries()[name](spark, sf)
+    assert scans.count("lineitem") == 1 and lineitem_scans(df) == 0 and session.shared_folder(spark)
+    assert "SinglePartition" not in plan(df) or name == "quality_report"
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(queries()["class5"](spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
 def test_feature_windows_share_one_exchange(spark, sf):
     text = plan(ranking_panel.entity_features(bars(spark, sf)))
     assert text.count("Exchange hashpartitioning") == 2  # bars per (entity, day), then entity
@@ -92,7 +120,7 @@ def test_feature_windows_share_one_exchange(spark, sf):
 
 
 def test_fitted_models(spark, sf):
-    out = risk_on(risk_dataset(index_series(spark, sf), StoreParams(lookback_days=None)), trees=5)
+    out = risk_on(risk_dataset(index_series(spark, sf)), trees=5)
     assert 0.0 <= out["auc"] <= 1.0
     assert out["scores"].where("risk_prob NOT BETWEEN 0 AND 1").count() == 0
     features = ["ret_1d_n", "vol_20d_n"]
@@ -101,12 +129,13 @@ def test_fitted_models(spark, sf):
     )
     panel = ranking_panel.normalised_panel(base).select("entity", "d", *features)
     ahead = base.select("entity", "d", "ret_5d").withColumnRenamed("ret_5d", "future_return")
-    rows = ranking_panel.labelled(panel, ahead, "future_return")
-    fit = huber(rows, "future_return", features=features, max_iter=5)
+    rows = model_rows(ranking_panel.labelled(panel, ahead, "future_return"), ["future_return"], features)
+    fit = huber(rows, "future_return")
     assert fit["error"].first()["mae"] > 0 and fit["delta"] > 0
     assert fit["scores"].count() == rows.count()
-    boosted = tree(rows, "future_return", features=features, trees=3)
+    boosted = tree(rows, "future_return", fit["delta"], features=features, params=BoostParams(max_rounds=6, learning_rate=0.1, rounds_per_fit=3))
     assert {r["feature"] for r in boosted["importance"].collect()} == set(features)
+    assert boosted["error"].first()["mae"] <= boosted["model"].errors[0]
 
 
 def test_neat_has_no_negative_zero(spark):

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 # ---- fixed values -----------------------------------------------------------
 HORIZONS = (1, 5, 20, 60)
 FRAMES = (20, 60)
+RECENT_RANKING_DAYS, RECENT_STORE_DAYS = 500, 270
 CLASS_CUTS = (-1.5, -0.8, 0.8, 1.5)
 EXPOSURE_BY_STATE = {"RISK_OFF": 0.2, "NEUTRAL": 1.0, "RISK_ON": 1.0}
 RISK_FEATURES = ["ret_1d", "ret_3d", "ret_5d", "vol_5d", "vol_10d", "volume_ratio_10d"]
@@ -52,14 +53,14 @@ class RankingParams:
     window: int = 60
     horizon: int = 3
     val_ratio: float = 0.2
-    lookback_days: int | None = 500
+    lookback_days: int | None = None  # RECENT_RANKING_DAYS for the recent panel alone
     eps: float = 1e-8
     std_floor: float = 1e-12
 
 
 @dataclass(frozen=True)
 class StoreParams:
-    lookback_days: int | None = 270
+    lookback_days: int | None = None  # RECENT_STORE_DAYS for the recent store alone
     min_names: int = 5
     buckets: int = 5
     beta_rows: int = 60

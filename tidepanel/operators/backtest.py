@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidepanel.config import BookParams
 from tidepanel.functions.scalar import ratio
 from tidepanel.operators.windows import drop_from_high
+from tidepanel.session import materialise
 
 STRATEGY, DAY, NAME = "strategy", "d", "entity"
 
@@ -60,39 +61,82 @@ def cohort_marks(filled: DataFrame, prices: DataFrame, *, cost: float = 2e-4) ->
     )
 
 
+BLOCK_DAYS = 4096  # about 16 years
+
+
+def _walked(start: Column, equity: Column, days: Column, hold: int, *, path: bool) -> Column:
+    """Account over the days of one block, entered at day ``start``: next flat day (null: the account is closed), equity,
+    and with ``path`` the flat days themselves. Days are structs (i, d, growth, n) in order."""
+    visited_type = "array<struct<d:date,equity:double>>"
+    begin = [start.cast("int").alias("next"), equity.cast("double").alias("equity")]
+    begin += [F.from_json(F.lit("[]"), visited_type).alias("path")] if path else []
+
+    def step(acc: Column, x: Column) -> Column:
+        closes = x["i"] + hold >= x["n"]
+        after = F.when(~closes, F.when(x["growth"].isNotNull(), x["i"] + hold).otherwise(x["i"] + 1)).cast("int")
+        fields = [after.alias("next"), (acc["equity"] * F.coalesce(x["growth"], F.lit(1.0))).alias("equity")]
+        if path:
+            own = F.array(F.struct(x["d"].alias("d"), acc["equity"].alias("equity")))
+            fields.append(F.concat(acc["path"], own).alias("path"))
+        return F.when(acc["next"] == x["i"], F.struct(*fields)).otherwise(acc)
+
+    return F.aggregate(days, F.struct(*begin), step)
+
+
+def _entries(blocks: DataFrame, size: int, hold: int, capital: float) -> DataFrame:
+    """(strategy, block, start, equity): where and with how much the account of a strategy enters each of its blocks.
+
+    A block maps the day it is entered on, one of its first ``hold``, to the day the next block is entered on and a
+    growth. Such maps compose, so prefixes of blocks are composed by pointer doubling: after k rounds a row stands for the
+    2^k blocks up to its own. A round is one join of as many rows as there are blocks.
+    """
+    first = blocks.select(STRATEGY, F.lit(0).alias("block"), F.lit(0).alias("start"), F.lit(float(capital)).alias("equity")).distinct()
+    last = blocks.agg(F.max("block")).first()[0] or 0
+    if not last:
+        return first
+    offsets = F.explode(F.when(F.col("block") == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(hold - 1))))
+    walked = _walked(F.col("block") * size + F.col("at"), F.lit(1.0), F.col("days"), hold, path=False)
+    maps = blocks.withColumn("at", offsets).select(STRATEGY, "block", "at", walked.alias("_w")).select(
+        STRATEGY, "block", "at", (F.col("_w.next") - (F.col("block") + 1) * size).alias("out"), F.col("_w.equity").alias("times")
+    )
+    maps = materialise(maps.where(F.col("out").isNotNull()))
+    reach = 1
+    while reach <= last:
+        earlier = maps.select(
+            STRATEGY, (F.col("block") + reach).alias("block"), F.col("at").alias("at_"), F.col("out").alias("at"), F.col("times").alias("times_")
+        )
+        longer = maps.where(F.col("block") >= reach).join(earlier, [STRATEGY, "block", "at"])
+        maps = materialise(
+            maps.where(F.col("block") < reach).unionByName(
+                longer.select(STRATEGY, "block", F.col("at_").alias("at"), "out", (F.col("times_") * F.col("times")).alias("times"))
+            )
+        )
+        reach *= 2
+    later = maps.where("at = 0").select(
+        STRATEGY, (F.col("block") + 1).alias("block"), ((F.col("block") + 1) * size + F.col("out")).cast("int").alias("start"),
+        (F.lit(float(capital)) * F.col("times")).alias("equity"),
+    )
+    return first.unionByName(later)
+
+
 def equity_curve(
-    days: DataFrame, cohorts: DataFrame, marks: DataFrame, *, params: BookParams = BookParams()
+    days: DataFrame, cohorts: DataFrame, marks: DataFrame, *, params: BookParams = BookParams(), block_days: int = BLOCK_DAYS
 ) -> DataFrame:
-    """(strategy, d, equity, drawdown): one account per strategy that holds one cohort at a time.
+    """(strategy, d, equity): one account per strategy that holds one cohort at a time.
 
     A flat day is followed by the day its cohort leaves, or by the next day if nothing was bought. The curve ends on
-    the first flat day too late to hold. Which days are flat depends on all days before, so each strategy's calendar
-    (a number and a growth per day) is folded in order; strategies run in parallel.
+    the first flat day too late to hold. Which days are flat depends on all days before: the calendar is cut into blocks,
+    maps of whole blocks are composed (``_entries``), then the blocks of all strategies are walked in parallel.
     """
     hold = params.hold
+    size = max(block_days, hold)
     day = F.struct(F.col("i"), F.col(DAY), F.col("growth"), F.col("n"))
-    ordered = days.join(cohorts.select(STRATEGY, DAY, "growth"), [STRATEGY, DAY], "left").groupBy(STRATEGY).agg(
-        F.sort_array(F.collect_list(day)).alias("_days")
-    )
-    path_type = "array<struct<d:date,equity:double>>"
-    start = F.struct(
-        F.lit(0).alias("next"),
-        F.lit(float(params.capital)).alias("equity"),
-        F.from_json(F.lit("[]"), path_type).alias("path"),
-    )
-
-    def step(acc, x):
-        visited = F.struct(
-            F.when(x["i"] + hold >= x["n"], F.lit(-1))
-            .when(x["growth"].isNotNull(), x["i"] + hold)
-            .otherwise(x["i"] + 1)
-            .alias("next"),
-            (acc["equity"] * F.coalesce(x["growth"], F.lit(1.0))).alias("equity"),
-            F.concat(acc["path"], F.array(F.struct(x["d"].alias("d"), acc["equity"].alias("equity")))).alias("path"),
-        )
-        return F.when(acc["next"] == x["i"], visited).otherwise(acc)
-
-    flat = ordered.select(STRATEGY, F.explode(F.aggregate("_days", start, step)["path"]).alias("_p")).select(
+    dated = days.join(cohorts.select(STRATEGY, DAY, "growth"), [STRATEGY, DAY], "left")
+    grouped = dated.groupBy(STRATEGY, F.floor(F.col("i") / size).cast("int").alias("block"))
+    blocks = materialise(grouped.agg(F.sort_array(F.collect_list(day)).alias("days")))
+    walked = _walked(F.col("start"), F.col("equity"), F.col("days"), hold, path=True)
+    entered = blocks.join(_entries(blocks, size, hold, params.capital), [STRATEGY, "block"])
+    flat = entered.select(STRATEGY, F.explode(walked["path"]).alias("_p")).select(
         STRATEGY, F.col("_p.d").alias(DAY), F.col("_p.equity").alias("equity")
     )
     held = flat.join(marks, [STRATEGY, DAY]).select(

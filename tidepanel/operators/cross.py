@@ -30,8 +30,8 @@ def in_large_groups(df: DataFrame, min_rows: int, *, by: str = "d") -> DataFrame
 def zscore_cross(
     df: DataFrame, cols: Iterable[str], *, by: str = "d", eps: float = 1e-8, floor: float = 1e-12, ddof: int = 0
 ) -> DataFrame:
-    """Standardise columns across the rows of each group, in place."""
-    cols = list(cols)
+    """Standardise columns across the rows of each group, in place. The rows are evaluated once, into a table."""
+    cols, df = list(cols), materialise(df)
     std = F.stddev_pop if ddof == 0 else F.stddev_samp
     stats = materialise(
         df.groupBy(by).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[std(c).alias(f"_s_{c}") for c in cols])
@@ -139,6 +139,7 @@ def robust_delta(
 ) -> DataFrame:
     """Huber threshold per group: ``scale`` times the median absolute deviation of the residuals."""
     by = key_list(by)
+    df = materialise(df.select(*by, residual))
     middle = _medians(df, residual, by)
     if by:
         centred = null_safe_join(df.select(*by, residual), middle, by)

@@ -87,11 +87,9 @@ def both_present(left: DataFrame, right: DataFrame, *, ts: str = "timestamp") ->
 
 
 def dimension_rows(facts: DataFrame, code: str, attributes: Iterable[str] = (), *, order: str | None = None) -> DataFrame:
-    """One row per code; with ``order`` the attributes come from the row with the smallest value of it."""
+    """One row per code: the least by ``order``, if given, and then by the attributes, in any partitioning."""
     attributes = list(attributes)
-    if order is None:
-        return facts.select(code, *attributes).dropDuplicates([code])
-    picked = facts.groupBy(code).agg(F.min(F.struct(order, *attributes)).alias("_row"))
-    return picked.select(code, *[F.col(f"_row.{a}").alias(a) for a in attributes])
+    lead = [order] if order and order not in attributes else []
+    return first_rows(facts.select(code, *attributes, *lead), code, order or ()).select(code, *attributes)
 
 

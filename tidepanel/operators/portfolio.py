@@ -18,11 +18,28 @@ def total_exposure(state: str, score: str, params: BookParams = BookParams()) ->
 
 
 def decisions(alpha: DataFrame, risk: DataFrame, *, ts: str = "d", params: BookParams = BookParams()) -> DataFrame:
-    """Alpha rows of the days that have a risk row allowing a position, with ``exposure``. ``risk``: a row per day."""
+    """Alpha rows of the days that have a risk row allowing a position, with ``exposure``. ``risk``: a row per day.
+
+    A day whose state the exposure map doesn't know allows nothing; ``unknown_states`` counts such days, and
+    ``known_states`` rejects them.
+    """
     allowed = risk.select(ts, total_exposure("risk_state", "risk_exposure", params).alias("exposure"))
     return alpha.join(allowed.where(F.col("exposure") > 0), ts)
 
 
+def unknown_states(risk: DataFrame, params: BookParams = BookParams()) -> DataFrame:
+    """(risk_state, days): rows of ``risk`` whose state, null included, has no place in the exposure map."""
+    states = risk.sparkSession.createDataFrame([(s,) for s in params.exposure], "risk_state string")
+    return risk.join(states, "risk_state", "left_anti").groupBy("risk_state").agg(F.count(F.lit(1)).alias("days"))
+
+
+def known_states(risk: DataFrame, params: BookParams = BookParams()) -> DataFrame:
+    """``risk`` as it is; a row with an unknown state ends the job with an error that names the state."""
+    message = F.concat(F.lit("unknown risk state: "), F.coalesce("risk_state", F.lit("null")))
+    known = F.coalesce(F.col("risk_state").isin(list(params.exposure)), F.lit(False))
+    return risk.withColumn("risk_state", F.when(known, F.col("risk_state")).otherwise(F.raise_error(message)))
+
+
 def rank_weights(
     df: DataFrame, *, score: str = "alpha_score", by: Keys = "d", tie: Keys = "entity", params: BookParams = BookParams()
 ) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidepanel.session import observed
+
 
 def not_null(c: str) -> Column:
     return F.col(c).isNull()
@@ -29,6 +31,14 @@ def row_checks(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     return counted.unpivot([], ["non_empty", *checks], "check", "violations")
 
 
+def watched(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """The relation, written once, and its ``row_checks``, counted by the pass that writes it."""
+    counts = {name: F.count_if(condition) for name, condition in checks.items()}
+    table, found = observed(df, {"non_empty": F.count(F.lit(1)), **counts})
+    rows = [("non_empty", 0 if found["non_empty"] else 1)] + [(name, found[name]) for name in checks]
+    return table, df.sparkSession.createDataFrame(rows, "check string, violations bigint")
+
+
 def group_size_check(df: DataFrame, by: str, min_rows: int, *, name: str = "group_size") -> DataFrame:
     """Number of groups with fewer than ``min_rows`` rows."""
     sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))

@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidepanel.operators.order import positions
 from tidepanel.operators.windows import Keys, key_list, numbered
 
 
 def split_date(df: DataFrame, ratio: float = 0.8, *, ts: str = "d") -> DataFrame:
-    """One row: the distinct time at zero-based position int(n * ratio). At most one row per time is sorted."""
-    dates = df.select(ts).distinct()
-    w = Window.orderBy(ts)
-    placed = dates.select(ts, (F.row_number().over(w) - 1).alias("_i"), F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
-    return placed.where(F.col("_i") == F.floor(F.col("_n") * F.lit(ratio))).select(F.col(ts).alias("split_at"))
+    """One row: the distinct time at zero-based position int(n * ratio). Times are numbered by range, not in one task."""
+    placed = positions(df.select(ts).where(F.col(ts).isNotNull()).distinct(), None, [ts], out="_p", total="_n")
+    return placed.where(F.col("_p") - 1 == F.floor(F.col("_n") * F.lit(ratio))).select(F.col(ts).alias("split_at"))
 
 
 def split_by_dates(df: DataFrame, ratio: float = 0.8, *, ts: str = "d") -> DataFrame:
-    """Validation: everything after the split date."""
+    """Validation: everything after the split date. The frame is read twice and should be a table."""
     return df.withColumn("is_val", F.col(ts) > split_date(df, ratio, ts=ts).scalar())
 
 

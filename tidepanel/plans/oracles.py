@@ -491,7 +491,7 @@ ORACLES: dict[str, str] = {
         "WHERE step > 60",
     ),
     "feature_store_daily": final(
-        store(270), "store", "entity, d", [*ALPHA_FEATURES, "rel_ret_3d", "beta_60d", "fwd_ret_3d", "fwd_ret_5d"]
+        STORE, "store", "entity, d", [*ALPHA_FEATURES, "rel_ret_3d", "beta_60d", "fwd_ret_3d", "fwd_ret_5d"]
     ),
     "ntile_label": final(ALPHA, "alpha", "entity, d, label"),
     "regime_label": final(
@@ -503,9 +503,7 @@ ORACLES: dict[str, str] = {
         "index_profile, d, CAST(crash AS BIGINT) AS crash, CAST(risk_on_label AS BIGINT) AS risk_on_label", ["future_vol"],
     ),
     "risk_dataset": final(
-        INDEX[:1] + [INDEX[1].replace("series AS", "all_series AS", 1),
-         "series AS (SELECT * FROM all_series WHERE d >= (SELECT min(d) FROM (SELECT DISTINCT d FROM all_series ORDER BY d DESC LIMIT 270)))"]
-        + SERIES
+        INDEX + SERIES
         + [f"ahead AS (SELECT *, {div(f'lead(close, 3) {_IDX}', 'close')} - 1 AS fwd_ret_3d FROM features)"],
         "ahead", "index_profile, d, CAST(CASE WHEN fwd_ret_3d > 0 THEN 1 ELSE 0 END AS BIGINT) AS risk_on_label",
         [*RISK_FEATURES, "fwd_ret_3d"],

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidepanel.config import (
-    ALPHA_FEATURES, FRAMES, HORIZONS, RATE, SCALED_FEATURES, STATE_FEATURES, TARGETS, RankingParams, StoreParams,
+    ALPHA_FEATURES, BookParams, FRAMES, HORIZONS, RATE, SCALED_FEATURES, STATE_FEATURES, TARGETS, RankingParams,
 )
 from tidepanel.functions.flow import book_ratios, flow_ratios, price_action
 from tidepanel.functions.scalar import calendar_cycles, empty_to_null, normalised, repaired_open
+from tidepanel.models.boosted import BoostParams
+from tidepanel.models.huber import fit_huber
+from tidepanel.models.pairwise import ranked_pairs
 from tidepanel.operators import backtest as bt, quality as dq
 from tidepanel.operators.cross import (
     combined_score, ndcg, percent_ranks, robust_delta, score_summary, top_k,
@@ -18,24 +22,25 @@ from tidepanel.operators.cross import (
 from tidepanel.operators.ingest import insert_ignore, missing_days, nulls_to_zero, referenced, upsert_first
 from tidepanel.operators.normalise import zscore_past
 from tidepanel.operators.order import dense_ids, null_safe_join
-from tidepanel.operators.portfolio import capped_rank_weights, decisions, rank_weights
+from tidepanel.operators.portfolio import capped_rank_weights, decisions, rank_weights, unknown_states
 from tidepanel.operators.relate import current_entities, lookback, with_context
 from tidepanel.operators.risk import recommended_exposure, risk_state
 from tidepanel.operators.scaling import lower_quantiles
 from tidepanel.operators.sequences import latest_sequences, sequences
 from tidepanel.operators.split import split_by_dates, split_entity_tail, split_rows, train
-from tidepanel.operators.targets import forward_trade_return
+from tidepanel.operators.targets import forward_trade_return, up_label
 from tidepanel.operators.windows import (
     active_over, after_warmup, beta, change, drop_from_high, lagged_return, relative_volume, rolling, rolling_quantile,
     timeline, trailing, with_enough_history,
 )
 from tidepanel.plans import daily_store as store, fitted, ranking_panel as ranking, risk_panel, strategy
-from tidepanel.session import materialise
-from tidepanel.sources.adapters import COMPOSITE, bars, index_series, predictions, rate_series, table
+from tidepanel.session import bucketed, copartitioned, materialise
+from tidepanel.sources.adapters import (
+    COMPOSITE, bars, index_series, lots, predictions, rate_series, supplier_days, table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-WHOLE = StoreParams(lookback_days=None)
 KEYS = ("entity", "d")
 
 
@@ -205,12 +210,12 @@ def rolling_beta(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def last_n_dates(spark: SparkSession, sf: str) -> DataFrame:
-    return neat(lookback(bars(spark, sf).select(*KEYS, "close"), 500))
+    return neat(lookback(materialise(bars(spark, sf).select(*KEYS, "close")), 500))
 
 
 @query
 def stale_prune(spark: SparkSession, sf: str) -> DataFrame:
-    return neat(current_entities(bars(spark, sf).select(*KEYS, "close")))
+    return neat(current_entities(materialise(bars(spark, sf).select(*KEYS, "close"))))
 
 
 @query
@@ -252,25 +257,33 @@ def zscore_cross(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def class5(spark: SparkSession, sf: str) -> DataFrame:
+    """Panel and targets come from tables bucketed by entity, so that their join and the split need no exchange."""
+    copartitioned(spark)
     base = _slim_base(spark, sf)
-    panel = zscore_past(base, ["ret_1d"], keep=KEYS, full_only=True)
-    labelled = ranking.labelled(panel, ranking.targets(base), "future_return")
+    panel = bucketed(zscore_past(base, ["ret_1d"], keep=KEYS, full_only=True), "entity", ["d"])
+    labelled = ranking.labelled(panel, bucketed(ranking.targets(base), "entity", ["d"]), "future_return")
     return neat(labelled.select(*KEYS, "ret_1d_n", "future_return", "future_return_class"))
 
 
+def _features(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily feature store; bars and index come from one scan of the lots."""
+    days = materialise(supplier_days(lots(spark, sf)))
+    return store.feature_store(bars(spark, sf, days=days), index_series(spark, sf, COMPOSITE, days=days))
+
+
 def _store(spark: SparkSession, sf: str) -> DataFrame:
-    return materialise(store.feature_store(bars(spark, sf), index_series(spark, sf, COMPOSITE), WHOLE))
+    return materialise(_features(spark, sf))
 
 
 @query
 def feature_store_daily(spark: SparkSession, sf: str) -> DataFrame:
-    features = store.feature_store(bars(spark, sf), index_series(spark, sf, COMPOSITE), StoreParams())
+    features = _features(spark, sf)
     return neat(features.select(*KEYS, *ALPHA_FEATURES, "rel_ret_3d", "beta_60d", "fwd_ret_3d", "fwd_ret_5d"))
 
 
 @query
 def ntile_label(spark: SparkSession, sf: str) -> DataFrame:
-    return neat(store.alpha_dataset(_store(spark, sf), WHOLE).select(*KEYS, "label"))
+    return neat(store.alpha_dataset(_store(spark, sf)).select(*KEYS, "label"))
 
 
 @query
@@ -283,9 +296,7 @@ def regime_label(spark: SparkSession, sf: str) -> DataFrame:
 def crash_label(spark: SparkSession, sf: str) -> DataFrame:
     series = index_series(spark, sf)
     crash = risk_panel.market_state(series).select("index_profile", "d", "crash", "future_vol")
-    up = store.series_features(series)
-    w = timeline("index_profile")
-    up = up.select("index_profile", "d", F.when(F.lead("close", 3).over(w) > F.col("close"), 1).otherwise(0).alias("risk_on_label"))
+    up = series.select("index_profile", "d", up_label("close", 3, timeline("index_profile")).alias("risk_on_label"))
     return neat(crash.join(up, ["index_profile", "d"]))
 
 
@@ -311,7 +322,7 @@ def fwd_ret_compat(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def split_dates(spark: SparkSession, sf: str) -> DataFrame:
-    return neat(split_by_dates(bars(spark, sf).select(*KEYS, "close"), 0.8))
+    return neat(split_by_dates(materialise(bars(spark, sf).select(*KEYS, "close")), 0.8))
 
 
 @query
@@ -401,7 +412,7 @@ def combined_score_(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def ndcg_at_k(spark: SparkSession, sf: str) -> DataFrame:
-    scored = materialise(store.alpha_dataset(_store(spark, sf), WHOLE).select(*KEYS, "ret_5d", "label"))
+    scored = materialise(store.alpha_dataset(_store(spark, sf)).select(*KEYS, "ret_5d", "label"))
     return neat(ndcg(scored, "ret_5d", "label"))
 
 
@@ -412,9 +423,9 @@ def rolling_quantile_(spark: SparkSession, sf: str) -> DataFrame:
     return neat(features.select("index_profile", "d", "vol_10d", rolling_quantile("vol_10d", 0.95, 252, 60, w).alias("vol_limit")))
 
 
-def _risk(spark: SparkSession, sf: str, profile: str | None = None) -> DataFrame:
+def _risk(spark: SparkSession, sf: str, profile: str | None = None, *, days: DataFrame | None = None) -> DataFrame:
     """Risk state per (series, day), from a logistic score of the three-day return."""
-    features = store.series_features(index_series(spark, sf, profile)).dropna(subset=["ret_5d", "vol_10d"])
+    features = store.series_features(index_series(spark, sf, profile, days=days)).dropna(subset=["ret_5d", "vol_10d"])
     scored = features.withColumn("risk_prob", 1 / (1 + F.exp(-50 * F.col("ret_3d"))))
     return risk_state(scored, entity="index_profile")
 
@@ -552,24 +563,28 @@ def null_coerce(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quality_report(spark: SparkSession, sf: str) -> DataFrame:
-    states = _risk(spark, sf)
-    rows = bars(spark, sf).select(*KEYS, "close", "volume", "foreign_buy")
+    """Lots are read once; row checks are counted while their relations are written."""
+    trades = materialise(lots(spark, sf))
+    days = materialise(supplier_days(trades))
+    _, of_risk = dq.watched(
+        _risk(spark, sf, days=days).select("risk_exposure", "risk_state", "vol_limit"),
+        {
+            "exposure_bounds": dq.outside("risk_exposure", 0.0, 1.0),
+            "known_state": dq.not_among("risk_state", ["RISK_ON", "NEUTRAL", "RISK_OFF"]),
+            "quantile_present": dq.not_null("vol_limit"),
+        },
+    )
+    rows, of_bars = dq.watched(
+        bars(spark, sf, days=days).select(*KEYS, "close", "volume", "foreign_buy"),
+        {"flow_within_volume": F.col("foreign_buy") >= F.col("volume"), "positive_close": F.col("close") <= 0},
+    )
     return neat(
         dq.report(
-            dq.row_checks(
-                states,
-                {
-                    "exposure_bounds": dq.outside("risk_exposure", 0.0, 1.0),
-                    "known_state": dq.not_among("risk_state", ["RISK_ON", "NEUTRAL", "RISK_OFF"]),
-                    "quantile_present": dq.not_null("vol_limit"),
-                },
-            ).withColumn("check", F.concat(F.lit("risk."), "check")),
-            dq.row_checks(
-                rows, {"flow_within_volume": F.col("foreign_buy") >= F.col("volume"), "positive_close": F.col("close") <= 0}
-            ).withColumn("check", F.concat(F.lit("bars."), "check")),
+            of_risk.withColumn("check", F.concat(F.lit("risk."), "check")),
+            of_bars.withColumn("check", F.concat(F.lit("bars."), "check")),
             dq.group_size_check(rows, "d", 20, name="bars.group_size"),
             dq.unique_check(rows, KEYS, name="bars.unique_key"),
-            dq.unique_check(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], name="lineitem.unique_key"),
+            dq.unique_check(trades.select("ord.l_orderkey", "ord.l_linenumber"), ["l_orderkey", "l_linenumber"], name="lineitem.unique_key"),
         )
     )
 
@@ -587,34 +602,122 @@ def json_props(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def risk_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    return fitted.risk_on(store.risk_dataset(index_series(spark, sf, COMPOSITE), WHOLE))["scores"]
+    return fitted.risk_on(store.risk_dataset(index_series(spark, sf, COMPOSITE)))["scores"]
 
 
 @query
 def risk_gbt_importance(spark: SparkSession, sf: str) -> DataFrame:
-    return fitted.risk_on(store.risk_dataset(index_series(spark, sf, COMPOSITE), WHOLE))["importance"]
+    return fitted.risk_on(store.risk_dataset(index_series(spark, sf, COMPOSITE)))["importance"]
 
 
 @query
 def rank_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    return fitted.ranker(materialise(store.alpha_dataset(_store(spark, sf), WHOLE)))["scores"]
+    return fitted.ranker(materialise(store.alpha_dataset(_store(spark, sf))))["scores"]
+
+
+def _model_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The table of all fits, and the normalised panel."""
+    base = _base(spark, sf)
+    panel = materialise(ranking.normalised_panel(base))
+    return fitted.model_rows(ranking.labelled_all(panel, ranking.targets(base))), panel
+
+
+@query
+def rank_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return fitted.pair_ranker(materialise(store.alpha_dataset(_store(spark, sf))))["scores"]
+
+
+@query
+def ranking_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The pairs that a ranker learns from, counted and weighted per day."""
+    pairs = ranked_pairs(store.alpha_dataset(_store(spark, sf)), "label")
+    return neat(pairs.groupBy("d").agg(F.count(F.lit(1)).alias("pairs"), F.sum("weight").alias("weight"), F.max("low").alias("last")))
 
 
 @query
 def huber_linear(spark: SparkSession, sf: str) -> DataFrame:
-    base = _base(spark, sf)
-    panel = ranking.normalised_panel(base)
-    rows = materialise(ranking.labelled(panel, ranking.targets(base), "future_return"))
-    return fitted.huber(rows, "future_return")["scores"]
+    return fitted.huber(_model_rows(spark, sf)[0], "future_return")["scores"]
+
+
+@query
+def huber_at_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    """Price against quantity at three thresholds: the coefficients, and the threshold in effect."""
+    trades = materialise(table(spark, sf, "lineitem").select(
+        array_to_vector(F.array("l_quantity")).alias("features"), (F.col("l_extendedprice") / 1e4).alias("y")
+    ))
+    rows = []
+    for asked in (0.5, 2.0, 10.0):
+        fit = fit_huber(trades, "y", asked, max_iter=80, tol=1e-9)
+        rows.append((asked, fit.delta, float(fit.model.coefficients[0]), float(fit.model.intercept), fit.settled))
+    return neat(spark.createDataFrame(rows, "asked double, in_effect double, slope double, intercept double, settled boolean"))
 
 
 @query
 def ensemble_scores(spark: SparkSession, sf: str) -> DataFrame:
-    base = _base(spark, sf)
-    panel = materialise(ranking.normalised_panel(base))
-    target_rows = materialise(ranking.targets(base))
-    labelled = {t: materialise(ranking.labelled(panel, target_rows, t)) for t in TARGETS}
-    return fitted.ensemble(labelled, ranking.inference_rows(panel, RankingParams()), seeds=(11, 23))["scores"]
+    """Four runs of both models on the three targets. Trees make the default's total step, 10,000 rounds of 1e-4, in 40
+    rounds of 2.5e-2."""
+    rows, panel = _model_rows(spark, sf)
+    boost = BoostParams(max_rounds=40, learning_rate=2.5e-2, stop_after=20, rounds_per_fit=20)
+    return fitted.ensemble(rows, ranking.inference_rows(panel, RankingParams()), params=boost)["scores"]
+
+
+@query
+def model_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Validation errors of every target, model and run against the constant; the trees take ten rounds."""
+    rows, panel = _model_rows(spark, sf)
+    boost = BoostParams(max_rounds=10, learning_rate=1e-2, rounds_per_fit=10)
+    fits = fitted.ensemble(rows, ranking.inference_rows(panel, RankingParams()), params=boost)
+    found = fitted.model_errors(rows, fits["errors"])
+    better = (F.col("mae") <= F.col("base_mae") * F.when(F.col("model") == "tree", 1.0).otherwise(1.05)).alias("no_worse")
+    return neat(found.select("target", "model", "run", "n_train", "n_val", "base_mae", better, (F.col("delta") > 0).alias("has_threshold")))
+
+
+def _fitted_walk(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Fitted market risk -> risk states -> fitted ranking -> weights and backtest."""
+    days = materialise(supplier_days(lots(spark, sf)))
+    rows = materialise(store.feature_store(bars(spark, sf, days=days), index_series(spark, sf, COMPOSITE, days=days)))
+    fitted_risk = fitted.risk_on(store.risk_dataset(index_series(spark, sf, COMPOSITE, days=days)))["scores"]
+    risk = materialise(risk_state(fitted_risk.withColumn("index_profile", F.lit(COMPOSITE)), entity="index_profile"))
+    scores = fitted.pair_ranker(materialise(store.alpha_dataset(rows)))["scores"]
+    alpha = materialise(scores.select(F.lit("fitted").alias("strategy"), *KEYS, "alpha_score"))
+    walk = strategy.walk_forward(rows.select(*KEYS, "open_price", "close"), alpha, risk.select("d", "risk_state", "risk_exposure"))
+    return alpha, walk | {"risk": risk}
+
+
+@query
+def fitted_backtest(spark: SparkSession, sf: str) -> DataFrame:
+    return neat(bt.performance(_fitted_walk(spark, sf)[1]["equity"]))
+
+
+@query
+def latest_portfolio(spark: SparkSession, sf: str) -> DataFrame:
+    alpha, walk = _fitted_walk(spark, sf)
+    return neat(strategy.latest_portfolio(walk["weights"], alpha))
+
+
+@query
+def portfolio_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold for the weights and the account of the fitted chain, whatever was fitted."""
+    alpha, walk = _fitted_walk(spark, sf)
+    weights = materialise(walk["weights"].select(*KEYS, "exposure", "names", "target_weight"))
+    daily = materialise(weights.groupBy("d").agg(F.sum("target_weight").alias("held"), F.max("exposure").alias("exposure"), F.count(F.lit(1)).alias("names")))
+    params = BookParams()
+    return neat(
+        dq.report(
+            dq.row_checks(weights, {"weight_bounds": dq.outside("target_weight", 0.0, params.cap, 1e-9)}).where("check <> 'non_empty'"),
+            dq.row_checks(
+                daily,
+                {
+                    "exposure_bound": ~(F.col("held") <= F.col("exposure") + 1e-9), "position_bound": F.col("names") > params.max_positions,
+                    "allowed_days": dq.outside("exposure", 0.0, 1.0),
+                },
+            ),
+            dq.unique_check(weights, KEYS, name="one_weight"),
+            dq.unique_check(walk["equity"], ["strategy", "d"], name="one_equity"),
+            dq.row_checks(walk["equity"], {"drawdown_bounds": dq.outside("drawdown", -1.0, 0.0), "positive_equity": ~(F.col("equity") > 0)}).where("check <> 'non_empty'"),
+            unknown_states(walk["risk"]).agg(F.count(F.lit(1)).alias("violations")).select(F.lit("known_states").alias("check"), "violations"),
+        )
+    )
 
 
 @query

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _FOLDER_KEY = "tidepanel.tables.dir"
+_TABLES = "tidepanel_bucketed_"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,11 +41,49 @@ def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._table = path
+    return table
+
+
+def observed(df: DataFrame, metrics: Mapping[str, Column]) -> tuple[DataFrame, dict]:
+    """``materialise`` and, from the same pass, aggregates over the rows written."""
+    watch = Observation()
+    table = materialise(df.observe(watch, *[c.alias(name) for name, c in metrics.items()]))
+    return table, watch.get
+
+
+def bucketed(df: DataFrame, key: str, sort: Sequence[str] = (), *, buckets: int | None = None) -> DataFrame:
+    """``materialise`` into a table bucketed by ``key`` and sorted within buckets.
+
+    Tables with the same buckets join on the key, and take windows over it, without an exchange; for a join on the key
+    and further columns, see ``copartitioned``. By default there are as many buckets as shuffle partitions.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{_TABLES}{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    dealt = df.repartition(n, key)  # one file per bucket
+    dealt.write.bucketBy(n, key).sortBy(key, *sort).option("path", path).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    table._table = path
+    return table
+
+
+def copartitioned(spark: SparkSession) -> None:
+    """Let a join on (key, more) use tables that are bucketed by the key alone."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table made by ``materialise`` that nothing reads any more."""
+    _delete(table.sparkSession, table._table)
 
 
 def release(spark: SparkSession) -> None:
     """Delete every table written by this session and drop its cached relations."""
+    for table in spark.catalog.listTables(pattern=f"{_TABLES}*"):
+        spark.sql(f"DROP TABLE IF EXISTS {table.name}")
     _delete_tables(spark)
     spark.catalog.clearCache()
 
@@ -71,6 +110,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 def _delete_tables(spark: SparkSession) -> None:
     folder = spark.conf.get(_FOLDER_KEY, None)
     if folder:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
         spark.conf.unset(_FOLDER_KEY)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as trades of a supplier: d, price p, quotes around it."""
     p = F.col("l_extendedprice") / F.col("l_quantity")
     return table(spark, sf_dir, "lineitem").select(
@@ -39,9 +39,9 @@ def _quantity_where(c: str, value: str) -> Column:
 _SUMS = ["volume", "value", "bid_volume", "offer_volume", "foreign_buy", "foreign_sell", "non_regular_volume"]
 
 
-def _supplier_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplier_days(trades: DataFrame) -> DataFrame:
     """Mergeable daily summary per supplier: extremes of the trade order, of price and quotes, and sums."""
-    return _lots(spark, sf_dir).groupBy("l_suppkey", "d").agg(
+    return trades.groupBy("l_suppkey", "d").agg(
         F.min("ord").alias("first"),
         F.max("ord").alias("last"),
         F.max("p").alias("high"),
@@ -66,9 +66,12 @@ def _merged(days: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def bars(spark: SparkSession, sf_dir: str, by: str = "supplier") -> DataFrame:
-    """Daily bars per supplier or nation (entity bigint, d date): at most one row per calendar day of an entity."""
-    days = _supplier_days(spark, sf_dir)
+def bars(spark: SparkSession, sf_dir: str, by: str = "supplier", *, days: DataFrame | None = None) -> DataFrame:
+    """Daily bars per supplier or nation (entity bigint, d date): at most one row per calendar day of an entity.
+
+    ``days`` is a table of ``supplier_days``, for callers that build more than the bars from it.
+    """
+    days = supplier_days(lots(spark, sf_dir)) if days is None else days
     if by == "nation":
         home = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
         days = _merged(days.join(home, "l_suppkey"), "s_nationkey", "d").withColumnRenamed("s_nationkey", "entity")
@@ -98,25 +101,27 @@ def _series_columns(days: DataFrame) -> DataFrame:
     )
 
 
-def index_series(spark: SparkSession, sf_dir: str, profile: str | None = None) -> DataFrame:
+def index_series(spark: SparkSession, sf_dir: str, profile: str | None = None, *, days: DataFrame | None = None) -> DataFrame:
     """Index rows per (index_profile, d): one profile per nation and COMPOSITE over everything, or ``profile`` alone.
 
     Lots are read once: COMPOSITE is rolled up from the days of nations, and by itself it needs no nation at all.
+    ``days`` is a table of ``supplier_days`` to be used instead of the lots.
     """
-    lots = _lots(spark, sf_dir)
-    sums = [F.max("p").alias("high"), F.min("p").alias("low"), F.sum("qty").alias("volume"), F.sum("ext").alias("value")]
-    if profile == COMPOSITE:
-        return _series_columns(with_constants(lots.groupBy("d").agg(*sums), {"index_profile": COMPOSITE}))
+    trades = lots(spark, sf_dir) if days is None else days
     merge = [
         F.max("high").alias("high"), F.min("low").alias("low"), F.sum("volume").alias("volume"), F.sum("value").alias("value")
     ]
+    raw = [F.max("p").alias("high"), F.min("p").alias("low"), F.sum("qty").alias("volume"), F.sum("ext").alias("value")]
+    sums = raw if days is None else merge
+    if profile == COMPOSITE:
+        return _series_columns(with_constants(trades.groupBy("d").agg(*sums), {"index_profile": COMPOSITE}))
     home = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("name"))
     if profile is not None:
         nation = nation.where(F.col("name") == profile)
     how = "left" if profile is None else "inner"  # lots without a nation count in COMPOSITE
-    supplier_days = lots.groupBy("l_suppkey", "d").agg(*sums)
-    nation_days = supplier_days.join(home.join(nation, "s_nationkey"), "l_suppkey", how).groupBy("name", "d").agg(*merge)
+    sold = trades.groupBy("l_suppkey", "d").agg(*sums) if days is None else days
+    nation_days = sold.join(home.join(nation, "s_nationkey"), "l_suppkey", how).groupBy("name", "d").agg(*merge)
     if profile is not None:
         return _series_columns(nation_days.withColumnRenamed("name", "index_profile"))
     both = F.explode(F.array_compact(F.array(F.col("name"), F.lit(COMPOSITE))))
