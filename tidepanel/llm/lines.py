@@ -3,8 +3,8 @@
 Documents overlap when they share a window: consecutive lines, from some line on, with ``MIN_WORDS`` words or more. Such
 windows are rare where single short lines are not. Every document is aligned with the first document of each of its
 windows, never with all others, so a window shared by a third of the corpus costs one pair per document and nothing is
-cut off. Patience diff aligns lines that occur once on both sides, in their longest common order, and works inwards;
-aligned blocks with ``MIN_WORDS`` words or more are deleted from the later document.
+cut off. Patience diff aligns lines that occur once on both sides, in their longest common order, and works inwards; where
+every line is repeated, the first occurrences are aligned, the second ones, and so on. Aligned blocks with ``MIN_WORDS`` words or more are deleted from the later document.
 
 Documents are ordered by (doc_id, digest of the text), null ids first; rows equal in both are one document and stay.
 Lines are compared without the white space around them; lines without words are kept and never compared. Null and empty
@@ -16,6 +16,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,13 @@ def _bounds(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.where(end <= last, end, -1)
 
 
+def _digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A cryptographic digest of each line's bytes: lines are deleted for being equal, and no text can make two collide."""
+    raw = data.tobytes()
+    lines = (blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(starts.tolist(), ends.tolist()))
+    return np.frombuffer(b"".join(lines), "<u8").astype(np.uint64)
+
+
 def _lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per row: hashes, word counts and positions of its lines with words, and the windows that start at them."""
     for batch in pieces(batches):
@@ -45,7 +53,7 @@ def _lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         line = np.searchsorted(breaks, starts) + doc  # a new text is a new line
         at = np.flatnonzero(np.diff(line, prepend=-1))
         words = np.diff(np.append(at, len(line)))
-        hashes = span_hash(prefix_hash(data), starts[at], ends[np.append(at[1:], len(line)) - 1] if len(at) else at)
+        hashes = _digests(data, starts[at], ends[np.append(at[1:], len(line)) - 1] if len(at) else at)
         position = np.searchsorted(breaks, starts[at]) - np.searchsorted(breaks, offsets[doc[at]])
         first = np.searchsorted(doc[at], np.arange(batch.num_rows + 1))
         end = _bounds(words, first)
@@ -79,8 +87,21 @@ def _rising(seconds: list[int]) -> list[int]:
     return out[::-1]
 
 
+def _numbered(lines: list[int]) -> list[tuple[int, int]]:
+    """Every line with the number of equal ones before it."""
+    seen: Counter = Counter()
+    out = []
+    for x in lines:
+        out.append((x, seen[x]))
+        seen[x] += 1
+    return out
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Aligned positions (i, j) of two sequences of line hashes, rising in both."""
+    """Aligned positions (i, j) of two sequences of line hashes, rising in both.
+
+    Anchors are lines that occur once on both sides; where there are none, the n-th occurrences of a line on either side.
+    """
     out: list[tuple[int, int]] = []
     open_ = [(0, len(a), 0, len(b))]
     while open_:
@@ -96,6 +117,9 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
         where = {x: i for i, x in enumerate(a[a0:a1], a0) if in_a[x] == 1 and in_b.get(x) == 1}
         pairs = [(where[x], j) for j, x in enumerate(b[b0:b1], b0) if x in where]
+        if not pairs:
+            nth = {x: i for i, x in enumerate(_numbered(a[a0:a1]), a0)}
+            pairs = [(nth[x], j) for j, x in enumerate(_numbered(b[b0:b1]), b0) if x in nth]
         anchors = [pairs[k] for k in _rising([i for i, _ in pairs])]
         if not anchors:
             continue
