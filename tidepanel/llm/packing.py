@@ -15,6 +15,8 @@ from __future__ import annotations
 import base64
 import bisect
 import itertools
+import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -22,10 +24,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidepanel.llm.common import flat, pieces, prefix_hash, read, span_hash, stored
+from tidepanel.llm.common import flat, pieces, read, stored
 
 SIZE = 2048
 LARGE = 384
@@ -51,6 +54,8 @@ class Encoder:
             for m in regex.finditer(pattern, every):
                 self.kind[ord(m[0][0]) : ord(m[0][-1]) + 1] = mark
         self.line = self.ranks[b"\n"]
+        with open(public_tokenizers.path(f"{name}.json")) as file:
+            self.special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
 
     def cuts(self, points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where the pieces start that the vocabulary's pattern cuts a text into (``offsets``: first point of each text)."""
@@ -107,17 +112,37 @@ class Encoder:
         at = np.searchsorted(lead, offsets)
         starts = self.cuts(points, at)
         begin = np.append(lead[starts], len(data)) if len(starts) else np.zeros(1, np.int64)
-        hashes = span_hash(prefix_hash(data), begin[:-1], begin[1:])
-        distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        cut = [raw[a:b].decode() for a, b in zip(begin[where].tolist(), begin[where + 1].tolist())]
-        bag, bag_at, sizes = self.each(cut)
+        cuts = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(begin.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+        distinct = cuts.dictionary_encode()  # told apart by their bytes
+        back = distinct.indices.to_numpy()
+        bag, bag_at, sizes = self.each(distinct.dictionary.to_pylist())
         counts = sizes[back]
         upto = np.concatenate([[0], np.cumsum(counts)])
         take = np.repeat(bag_at[back] - upto[:-1], counts) + np.arange(upto[-1])
         return bag[take], upto[np.searchsorted(starts, at)]
 
 
+    def encode_marked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` where the vocabulary's special strings in a text stand for their own ids, as its file has it."""
+        marked = pc.fill_null(pc.match_substring_regex(texts, "|".join(map(re.escape, self.special))), False) if self.special else None
+        if marked is None or not pc.any(marked).as_py():
+            return self.encode(*flat(texts))
+        split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
+        parts = [split.split(t or "") for t in texts.to_pylist()]
+        plain, first = self.encode(*flat(pa.array([p for x in parts for p in x[::2]], pa.large_string())))
+        out, at = [], 0
+        for x in parts:
+            row = []
+            for k, part in enumerate(x):
+                if k % 2:
+                    row.append(np.array([self.special[part]], np.uint32))
+                else:
+                    row.append(plain[first[at] : first[at + 1]])
+                    at += 1
+            out.append(np.concatenate(row))
+        return np.concatenate(out), np.concatenate([[0], np.cumsum([len(x) for x in out])])
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -127,7 +152,7 @@ def tokenised(batches: Iterable[pa.RecordBatch], name: str) -> Iterator[pa.Recor
     part = TaskContext.get().partitionId()
     seen = np.zeros(SIZE + 1, np.int64)
     for batch in pieces(batches, limit=4 << 20):
-        ids, first = encoder.encode(*flat(batch.column("text")))
+        ids, first = encoder.encode_marked(batch.column("text"))
         rows, piece, start, length, crc = [], [], [], [], []
         for r in range(batch.num_rows):
             own = np.append(ids[first[r] : first[r + 1]], END_ID).astype("<u4")
@@ -306,6 +331,16 @@ def plan(counts: np.ndarray, size: int = SIZE, large: int = LARGE, groups: int =
     return out
 
 
+def sequences(runs: list[tuple[int, int, int, int, int, int]]) -> int:
+    """How many sequences the runs of a plan use."""
+    return max((first + wide for _, _, _, first, wide, _ in runs), default=0)
+
+
+def best_plan(counts: np.ndarray, size: int = SIZE) -> list[tuple[int, int, int, int, int, int]]:
+    """Linear grouping, or best fit over all lengths where rounding up costs more sequences than it saves."""
+    return min((plan(counts, size), plan(counts, size, large=size)), key=sequences)
+
+
 def pack(docs: DataFrame, text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
@@ -320,7 +355,7 @@ def pack(docs: DataFrame, text: str = "text", tokenizer: str = TOKENIZER) -> Dat
     histogram = np.zeros(SIZE + 1, np.int64)
     for r in before.groupBy("length").agg(F.sum("_n").alias("n")).collect():  # at most SIZE rows
         histogram[r["length"]] = r["n"]
-    runs = plan(histogram)
+    runs = best_plan(histogram)
     frame = spark.createDataFrame([tuple(map(int, r)) for r in runs] or [(0,) * 6], "length long, _first long, _ranks long, _sequence long, _wide long, _offset long")
     numbered = rows.join(before.drop("_n"), ["_part", "length"]).withColumn("_at", F.col("_before") + F.col("_rank"))
     # The plan is bounded by the lengths there are, whatever the number of pieces: a broadcast that cannot grow.
