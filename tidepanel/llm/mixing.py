@@ -9,7 +9,7 @@ they occur; null ids and sources are values like others; an empty table gives no
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidepanel.llm.common import free_name, read, stored, words
 from tidepanel.operators.order import null_safe_join, positions, running_total
@@ -17,6 +17,7 @@ from tidepanel.operators.order import null_safe_join, positions, running_total
 WEIGHTS = (1, 2, 3)
 MOST = 3
 SYMBOLS = "#*$%&|<>"
+ORDER = ["key", "doc_id", "size", "_print"]
 
 
 def quality_weight(text: Column, size: Column) -> Column:
@@ -65,31 +66,66 @@ def sized(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per row: doc_id, source, size, source_size, target, times, taken, and _print (a hash of the text)."""
+def _decided(docs: DataFrame, text: str) -> DataFrame:
+    """doc_id, source, size, key, _print, source_size, target, _whole (epochs of the source) and _more (one more time)."""
     rows = stored(sized(docs, text))
     goal = stored(targets(rows))
-    upto = running_total(rows, "source", ["key", "doc_id", "size", "_print"], "size").drop("overall")
+    upto = running_total(rows, "source", ORDER, "size").drop("overall")
     joined = null_safe_join(upto, goal, ["source"])
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = F.col("target") - whole * F.col("source_size")
     once_more = (F.col("upto") - F.col("size") / 2 <= rest) & (rest > 0)
-    return joined.withColumn("times", (whole + once_more.cast("long")).cast("long")).select(
+    return joined.withColumns({"_whole": whole, "_more": once_more})
+
+
+def mix(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One row per row: doc_id, source, size, source_size, target, times, taken, and _print (a hash of the text)."""
+    decided = _decided(docs, text).withColumn("times", F.col("_whole") + F.col("_more").cast("long"))
+    return decided.select(
         "doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"), "_print"
     )
 
 
+def _cuts(docs: DataFrame, text: str) -> DataFrame:
+    """Per source: epochs, the place in its order up to which rows are taken once more, and how many of the rows of that
+    very place (repeated ones) are among them."""
+    rows = stored(_decided(docs, text).select("source", F.struct(*ORDER).alias("_at"), "_whole", "_more"))
+    last = rows.groupBy("source").agg(F.max(F.when(F.col("_more"), F.col("_at"))).alias("_cut"), F.first("_whole").alias("_whole"))
+    there = null_safe_join(rows, last.select("source", "_cut"), ["source"]).where(F.col("_at") == F.col("_cut"))
+    same = there.groupBy("source").agg(F.count_if("_more").alias("_taken"), F.count(F.lit(1)).alias("_same"))
+    return stored(null_safe_join(last, same, ["source"], "left"))
+
+
 def mixed_rows(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input's rows and columns, each row as often as the mix takes it."""
-    key, number, times = free_name(docs, "_key"), free_name(docs, "_number"), free_name(docs, "_times")
-    same = Window.partitionBy(key).orderBy(F.lit(0))
-    keyed = docs.withColumn(key, F.struct("doc_id", "source", F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("p")))
-    left = keyed.withColumn(number, F.row_number().over(same))
-    taken = mix(docs, text).where("times > 0")
-    taken = taken.select(F.struct("doc_id", "source", F.col("_print").alias("p")).alias(key), F.col("times").alias(times))
-    right = taken.withColumn(number, F.row_number().over(same))
-    joined = left.join(right, [key, number])
-    return joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[f"`{c}`" for c in docs.columns])
+    """The input's rows and columns, each row as often as the mix takes it.
+
+    A source takes a beginning of its order once more, so where that ends is all that has to be known: rows are neither
+    joined with each other nor moved. Only if a source ends amid repeated rows, these are numbered.
+    """
+    cuts = _cuts(docs, text)
+    names = {c: free_name(docs, c) for c in ("_at", "_cut", "_whole", "_taken", "_same", "_number")}
+    at, cut = F.col(names["_at"]), F.col(names["_cut"])
+    plain = F.coalesce(F.col(text), F.lit(""))
+    size = F.size(words(F.col(text))).cast("long")
+    key = exponential_key(F.col("doc_id"), quality_weight(plain, size))
+    placed = docs.withColumn(names["_at"], F.struct(key.alias("key"), F.col("doc_id"), size.alias("size"), F.xxhash64(plain).alias("_print")))
+    limits = cuts.select("source", *[F.col(c).alias(names[c]) for c in ("_cut", "_whole", "_taken", "_same")])
+    rows = null_safe_join(placed, limits, ["source"])
+    amid = F.coalesce((at == cut) & (F.col(names["_taken"]) < F.col(names["_same"])), F.lit(False))
+
+    def often(more: Column, whole: str) -> Column:
+        return F.explode(F.array_repeat(F.lit(0), (F.col(whole) + F.coalesce(more, F.lit(False)).cast("long")).cast("int")))
+
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = rows.where(~amid).withColumn(names["_number"], often(at <= cut, names["_whole"])).select(*columns)
+    if cuts.where("_taken < _same").isEmpty():
+        return out
+    spread = rows.where(amid).select(
+        F.struct(*columns).alias("row"), F.col("source").alias("home"), F.struct(F.xxhash64(*columns), F.rand(7)).alias("place"),
+        F.col(names["_whole"]).alias("whole"), F.col(names["_taken"]).alias("taken"),
+    )
+    numbered = positions(spread, "home", ["place"], out="number")
+    return out.unionByName(numbered.withColumn("time", often(F.col("number") <= F.col("taken"), "whole")).select("row.*"))
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
