@@ -30,6 +30,7 @@ from tidepanel.llm.common import pieces, read, stored
 SALTS = 16
 
 # Elements of HTML.
+SWALLOWING = {"script", "style", "textarea"}  # these reach to the end of a page that doesn't close them; others end with their tag
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template iframe object svg math textarea select button title head".split())
 INLINE = set(
@@ -53,7 +54,13 @@ BOILERPLATE_NAMES = set(
 )
 BOILERPLATE_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|([^<]+|<)", re.S)
+STATE_WORDS = set("no not non has have is with without hide hidden show open opened closed enabled disabled on off none".split())
+CONTENT_TAGS = {"article", "main", "html", "body"}  # what their classes say is about the page
+DEPTH = 100  # deeper elements are one level; texts and marks are kept
+
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|([^<]+|<)", re.S
+)  # quotes hold a value only behind an equals sign
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
@@ -68,11 +75,26 @@ def _kind(tag: str, attributes: str) -> str:
                 return tag + "!"
             if value == "main":
                 return "main"
-        elif tag not in ("html", "body") and BOILERPLATE_NAMES & set(re.split(r"[^a-z]+", value)):
+        elif tag not in CONTENT_TAGS and any(map(_says_boilerplate, value.split())):
             return tag + "!"
     return tag
 
 
+def _says_boilerplate(name: str) -> bool:
+    """Whether a class or id names boilerplate; one that says what there is not, or how it is set, doesn't."""
+    words = set(re.split(r"[^a-z]+", name))
+    return bool(words & BOILERPLATE_NAMES) and not words & STATE_WORDS
+
+
+def _squeezed(path: tuple[str, ...]) -> tuple[str, ...]:
+    """At most ``DEPTH`` levels and one for all below; regions and marks met below are kept."""
+    if len(path) <= DEPTH:
+        return path
+    below = path[DEPTH:]
+    mark = "div!" if any(k.endswith("!") for k in below) else next((k for k in ("article", "main") if k in below), "div")
+    return (*path[:DEPTH], mark)
+
+
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, int]]:
     """Text blocks in page order: path of element kinds, text, words, and words inside links."""
     out: list[tuple[tuple[str, ...], str, int, int]] = []
@@ -85,7 +107,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, int]]:
         text = " ".join(entities.unescape("".join(held)).split())
         if text:
             words = text.count(" ") + 1
-            out.append((tuple(k for _, k in stack), text, words, min(linked, words)))
+            out.append((_squeezed(tuple(k for _, k in stack)), text, words, min(linked, words)))
         held.clear()
         linked = 0
 
@@ -108,7 +130,12 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, int]]:
             if tag in RAW and not closing:
                 if tag not in VOID and not m[0].endswith("/>"):
                     end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                    at = end.end() if end else len(page)
+                    if end:
+                        at = end.end()
+                    elif tag in SWALLOWING:
+                        at = len(page)
+                    elif tag == "title":  # without an end it is the text up to the next element
+                        at = max(page.find("<", at), at) if "<" in page[at:] else len(page)
                 if tag not in ("button", "select"):
                     continue
                 held.append(" ")
