@@ -186,7 +186,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", removed: str | None = None)
     joined = _keyed(docs, text, doc)
     key = lambda df: [df[f"{doc}.doc_id"], df[f"{doc}.p"]]
     on = [a.eqNullSafe(b) for a, b in zip(key(joined), key(cut))]
-    both = joined.join(cut, on[0] & on[1], "left")
+    both = joined.join(cut.hint("merge"), on[0] & on[1], "left")  # what goes grows with the corpus: never a broadcast
     count = [F.coalesce(F.size(cut[gone]), F.lit(0)).cast("long").alias(removed)] if removed else []
     return both.select(
         *[without_lines(joined[text], cut[gone]).alias(c) if c == text else joined[f"`{c}`"] for c in docs.columns], *count

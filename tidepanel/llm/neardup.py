@@ -262,8 +262,8 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
 
 
 def _first_texts(plain: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One (node, text) for each wanted node. Copies meet only after one per task has been picked."""
-    return plain.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    """One (node, text) for each wanted node, of which there are the more the larger the corpus: never a broadcast."""
+    return plain.join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
