@@ -4,7 +4,8 @@ A byte goes when it lies in a string of ``LENGTH`` bytes that also starts in a d
 
 1. Every ``LENGTH``-byte window is named by the least hash of its ``GRAM``-byte strings, so equal windows have equal names
    and neighbours mostly share one. Names are counted over all documents; a name that only one document has can't belong
-   to a repeated window, and its windows are done.
+   to a repeated window, and its windows are done. Shared names go back to their documents packed, a row per group of names
+   and bucket of documents.
 2. The windows left travel as short segments to the task of their name. Equal segments met in one task are settled there:
    all but the one of the smallest doc_id go. Each task sorts the suffixes of its segments, takes for every suffix the
    previous and next smaller document in suffix order, and the longer of the two common prefixes is its longest previous
@@ -103,8 +104,8 @@ def _joined(table: pa.Table, **kinds: str) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in kinds.items()]
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Names of the group that documents with different ids have, by document: their low 32 bits.
+def _shared(table: pa.Table, parts: int) -> pa.Table:
+    """Names of the group that documents with different ids have, their low 32 bits, packed by bucket of documents.
 
     They only say which windows travel on, where all bytes are compared, so one too many costs a segment and no result.
     """
@@ -116,13 +117,20 @@ def _shared(table: pa.Table) -> pa.Table:
     last = at + size - 1
     many = np.repeat(ids[at] != ids[last], size)
     name, ids, prints = name[many], ids[many], prints[many]
+    bucket = mixed(mixed(ids.view(np.uint64)) ^ prints.view(np.uint64)) % np.uint64(parts)
+    return pa.Table.from_batches([_packed(bucket.astype(np.int64), {"id": ids, "p": prints, "names": name.astype("<u4")})])
+
+
+def _of_documents(table: pa.Table) -> pa.Table:
+    """One row for each document of a bucket: its shared names, from all groups."""
+    ids, prints, name = _joined(table, id="<i8", p="<i8", names="<u4")
     order = np.lexsort((prints, ids))
     name, ids, prints = name[order], ids[order], prints[order]
     new = np.ones(len(ids), bool)
     new[1:] = (ids[1:] != ids[:-1]) | (prints[1:] != prints[:-1])
     at = np.flatnonzero(new)
     cut = np.append(at, len(ids)) * 4
-    blobs = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(name.astype("<u4"))])
+    blobs = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(cut.astype(np.int64)), pa.py_buffer(name)])
     return pa.table({"id": ids[at], "p": prints[at], "names": blobs.cast(pa.binary())})
 
 
@@ -164,9 +172,9 @@ def _segments(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.Reco
         ids, prints = _ids(batch)
         data, offsets = flat(batch.column("text"))
         name, first, behind, row = names(data, offsets)
-        lists = batch.column("names").fill_null([]).to_pylist()
-        owner = np.repeat(np.arange(batch.num_rows, dtype=np.uint64), [sum(map(len, x)) // 4 for x in lists])
-        flags = np.frombuffer(b"".join(y for x in lists for y in x), "<u4").astype(np.uint64)
+        packed, at = flat(batch.column("names"))
+        owner = np.repeat(np.arange(batch.num_rows, dtype=np.uint64), np.diff(at) // 4)
+        flags = np.frombuffer(packed.tobytes(), "<u4").astype(np.uint64)
         keyed = lambda h, r: mixed(h + (r.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
         got = np.isin(keyed(name & np.uint64(0xFFFFFFFF), row), keyed(flags, owner))
         name, first, behind, row = name[got], first[got], behind[got], row[got]
@@ -264,8 +272,11 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     parts = max(1, size // PART_BYTES)
     packed = plain.mapInArrow(partial(_named, parts=parts), "part int, name binary, id binary, print binary")
     dealt = lambda df: df.repartition(parts + 1, "part").groupBy("part")
-    shared = stored(dealt(packed).applyInArrow(_shared, "id long, p long, names binary"))
-    by_doc = shared.groupBy("id", "p").agg(F.collect_list("names").alias("names"))
+    def shared_names(table: pa.Table) -> pa.Table:
+        return _shared(table, parts)
+
+    shared = stored(dealt(packed).applyInArrow(shared_names, "part int, id binary, p binary, names binary"))
+    by_doc = dealt(shared).applyInArrow(_of_documents, "id long, p long, names binary")
     id_ = F.coalesce("doc_id", F.lit(int(NO_ID)))
     with_names = plain.withColumn("id", id_).join(by_doc, ["id", "p"]).select("doc_id", "p", "text", "names")
     schema = "part int, id binary, print binary, start binary, length binary, body binary"
