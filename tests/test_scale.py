@@ -10,7 +10,7 @@ from tidepanel import session
 from tidepanel.operators.blocks import in_blocks
 from tidepanel.operators.moments import with_beta
 from tidepanel.operators.windows import beta, timeline
-from tidepanel.plans import daily_store as store
+from tidepanel.plans import daily_store as store, ranking_panel as ranking
 from tidepanel.sources.adapters import bars, index_series
 
 DAY = dt.date(2024, 1, 1)
@@ -87,3 +87,22 @@ def test_labels_move_no_features(spark, tmp_path):
     assert slim.columns == ["d", "entity", "label"]
     wide = store.alpha_dataset(rows).select("d", "entity", "label")
     assert sorted(slim.collect()) == sorted(wide.collect()) and slim.count() > 0
+
+
+def test_targets_are_made_beside_the_features_without_moving_these(spark, tmp_path):
+    sf = lineitem(spark, tmp_path, suppliers=4, days=400)
+    days = session.materialise(bars(spark, sf).where("entity <> 3 OR d < '2024-06-01'"))  # one entity has not enough history
+    rates = days.groupBy("d").agg(F.avg("close").alias("secondary_value")).withColumns(
+        {"primary_value": F.lit(1.0), "primary_code": F.lit("USD"), "secondary_code": F.lit("IDR")}
+    )
+    market = session.materialise(ranking.market_context(index_series(spark, sf, "COMPOSITE"), rates))
+    base = ranking.panel_base(ranking.entity_features(days.repartition(4, "entity")), market)
+    panel = ranking.labelled_panel(base, base.select("entity", "d", "close", "ret_1d"))
+    assert plan(panel).count("Exchange hashpartitioning") == 1  # that of the bars
+    whole = ranking.normalised_panel(base)
+    want = ranking.labelled_all(whole, ranking.targets(session.materialise(base))).orderBy("entity", "d").toPandas()
+    got = panel.where("known").orderBy("entity", "d").toPandas()
+    assert len(got) == len(want) > 0 and panel.count() == whole.count() > len(got)
+    for c in got.columns.drop("known"):
+        a, b = got[c], want[c]
+        assert a.equals(b) if a.dtype == object or a.dtype == bool else a.tolist() == pytest.approx(b.tolist(), rel=1e-9, abs=1e-9, nan_ok=True), c
