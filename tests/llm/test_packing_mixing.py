@@ -126,3 +126,29 @@ def test_shared_names_come_back_packed():
     for n, i, p in zip(name.tolist(), ids.tolist(), prints.tolist()):
         want[i, p].append(n)
     assert got == {k: sorted(v) for k, v in want.items()}
+
+
+def test_names_of_documents_travel_slim():
+    """Half an id, half a name and half a hash of the text for each entry, and upper halves that are all alike."""
+    rng = np.random.default_rng(0)
+    texts = ["".join(chr(c) for c in rng.integers(97, 123, 300)) for _ in range(50)]
+    ids = [7, None, -3, 1 << 40, *range(46)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "p": rng.integers(-1 << 62, 1 << 62, 50), "text": texts})
+    table = pa.Table.from_batches(list(repeats._named([batch], 4)))
+    size = {c: sum(map(len, table.column(c).to_pylist())) for c in table.column_names if c != "part"}
+    n = size["tag"] // 4
+    assert sum(size.values()) == 16 * n and n > 50 * 10
+    wide = repeats._wide(table, "name", "<u8")
+    assert set(np.frombuffer(wide["id"][0].as_py(), "<i8").tolist()) == {repeats.NO_ID if i is None else i for i in ids}
+
+
+def test_repeats_of_odd_ids(spark):
+    """Ids that are negative, null, beyond 32 bits or held by different texts; documents longer than 65,536 bytes."""
+    rng = np.random.default_rng(1)
+    text = lambda n: "".join(chr(c) for c in rng.integers(97, 123, n))
+    a, b, c = text(60), text(70), text(80)
+    rows = [(-5, a), (1, b + "x"), (1, a + b), (1 << 40, text(70_000) + a + c), ((1 << 40) + 1, c + "y" + b), (None, b), (None, a + "!" + c), (9, "aa" * 40_000), (3, "aa" * 40)]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # of rows with one id none is the smaller: b is first met in two rows of id 1, and in both it stays
+    want = {(-5, 60): 0, (1, 71): 0, (1, 130): 60, (1 << 40, 70_140): 60, ((1 << 40) + 1, 151): 150, (None, 70): 70, (None, 141): 140, (9, 80_000): 80_000, (3, 80): 0}
+    assert {(r["doc_id"], r["n_bytes"]): r["n_removed"] for r in got} == want

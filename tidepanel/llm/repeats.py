@@ -56,6 +56,22 @@ def names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return low[first][good], first[good], behind[good], row[first][good]
 
 
+def _tags(name: np.ndarray) -> np.ndarray:
+    """32 bits of a name that don't follow from its group. They only say which windows travel on, where all bytes are
+    compared, so two names that share them cost a segment and no result."""
+    return (mixed(name) >> np.uint64(32)).astype("<u4")
+
+
+def _halves(column: str, values: np.ndarray) -> dict[str, np.ndarray]:
+    """Lower and upper half of integers as two columns: the upper ones are mostly alike and so shrink to nothing when moved."""
+    half = np.ascontiguousarray(values).view(f"<u{values.itemsize // 2}").reshape(-1, 2)
+    return {column: half[:, 0], f"{column}_high": half[:, 1]}
+
+
+def _whole(low: np.ndarray, high: np.ndarray, kind: str) -> np.ndarray:
+    return np.column_stack([low, high]).view(kind).ravel()
+
+
 def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), batch.column("p").to_numpy()
 
@@ -75,13 +91,14 @@ def _packed(part: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
 
 
 def _named(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Distinct (name, document) pairs, packed by group of names."""
+    """Distinct (name, document) pairs, packed by group of names. Documents are told apart by id and 32 bits of their text's
+    hash: rows with one id that agree in these get each other's names, which flags no window that its own wouldn't."""
     held: list[tuple[np.ndarray, ...]] = []
     n = 0
 
     def passed() -> pa.RecordBatch:
         name, ids, prints = (np.concatenate(x) for x in zip(*held))
-        return _packed((name % np.uint64(parts)).astype(np.int64), {"name": name, "id": ids, "print": prints})
+        return _packed((name % np.uint64(parts)).astype(np.int64), {"tag": _tags(name), **_halves("id", ids), "print": prints})
 
     for batch in pieces(batches):
         ids, prints = _ids(batch)
@@ -91,7 +108,7 @@ def _named(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordB
         new = np.ones(len(name), bool)
         new[1:] = (name[1:] != name[:-1]) | (row[1:] != row[:-1])
         if new.any():
-            held.append((name[new], ids[row[new]], prints[row[new]]))
+            held.append((name[new], ids[row[new]], prints[row[new]].astype("<u4")))
             n += int(new.sum())
         if n >= FLUSH:
             yield passed()
@@ -104,6 +121,23 @@ def _joined(table: pa.Table, **kinds: str) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in kinds.items()]
 
 
+def _wide(table: pa.Table, name: str, kind: str, print_: str = "print") -> pa.Table:
+    """Entries with whole ids again, as one row; a tag stands for the name."""
+    tag, low, high, prints = _joined(table, tag="<u4", id="<u4", id_high="<u4", print="<u4")
+    columns = {name: tag.astype(kind), "id": _whole(low, high, "<i8"), print_: prints.astype("<i8")}
+    return pa.table({c: pa.array([values.tobytes()], pa.binary()) for c, values in columns.items()})
+
+
+def _slim(table: pa.Table) -> pa.Table:
+    """The rows of ``_shared`` as they travel: 4 bytes of tag, print and half an id for each entry."""
+    rows = []
+    for part, ids, prints, tags in zip(*(table.column(c).to_pylist() for c in ("part", "id", "p", "names"))):
+        halves = [x.tobytes() for x in _halves("id", np.frombuffer(ids, "<i8")).values()]
+        rows.append((part, *halves, np.frombuffer(prints, "<i8").astype("<u4").tobytes(), tags))
+    kinds = {"part": pa.int32(), "id": pa.binary(), "id_high": pa.binary(), "print": pa.binary(), "tag": pa.binary()}
+    return pa.table({c: pa.array([r[k] for r in rows], kind) for k, (c, kind) in enumerate(kinds.items())})
+
+
 def _shared(table: pa.Table, parts: int) -> pa.Table:
     """Names of the group that documents with different ids have, their low 32 bits, packed by bucket of documents.
 
@@ -153,8 +187,8 @@ def _segments(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.Reco
         if later.any():
             gone = np.flatnonzero(later)
             yield _packed(np.full(len(gone), -1), {
-                "id": ids[gone], "print": prints[gone], "start": start[gone], "length": length[gone].astype("<i4"),
-                "body": np.zeros(len(gone), np.uint8),
+                **_halves("id", ids[gone]), "print": prints[gone], **_halves("start", start[gone]),
+                **_halves("length", length[gone].astype("<i4")), "body": np.zeros(len(gone), np.uint8),
             })
         keep = np.flatnonzero(~later)
         if not len(keep):
@@ -164,7 +198,9 @@ def _segments(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.Reco
         part = np.sort(part, kind="stable")
         size = length[keep]
         at = np.repeat(begin[keep] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        batch = _packed(part, {"id": ids[keep], "print": prints[keep], "start": start[keep], "length": size.astype("<i4")})
+        batch = _packed(part, {
+            **_halves("id", ids[keep]), "print": prints[keep], **_halves("start", start[keep]), **_halves("length", size.astype("<i4"))
+        })
         bodies = _packed(np.repeat(part, size), {"body": body[at]})
         yield pa.RecordBatch.from_arrays([*batch.columns, bodies.column("body")], names=[*batch.schema.names, "body"])
 
@@ -176,7 +212,7 @@ def _segments(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.Reco
         owner = np.repeat(np.arange(batch.num_rows, dtype=np.uint64), np.diff(at) // 4)
         flags = np.frombuffer(packed.tobytes(), "<u4").astype(np.uint64)
         keyed = lambda h, r: mixed(h + (r.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-        got = np.isin(keyed(name & np.uint64(0xFFFFFFFF), row), keyed(flags, owner))
+        got = np.isin(keyed(_tags(name).astype(np.uint64), row), keyed(flags, owner))
         name, first, behind, row = name[got], first[got], behind[got], row[got]
         if len(name):
             length = behind - first + LENGTH - 1
@@ -211,8 +247,9 @@ def previous_factors(text: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> n
 
 def _spans(table: pa.Table) -> pa.Table:
     """Spans of the group's segments that an earlier document has too."""
-    ids, prints, start, length = _joined(table, id="<i8", print="<i8", start="<i4", length="<i4")
-    start, length = start.astype(np.int64), length.astype(np.int64)
+    halves = {f"{c}{h}": kind for c, kind in (("id", "<u4"), ("start", "<u2"), ("length", "<u2")) for h in ("", "_high")}
+    prints, *rest = _joined(table, print="<i8", **halves)
+    ids, start, length = (_whole(*rest[i : i + 2], kind).astype(np.int64) for i, kind in ((0, "<i8"), (2, "<i4"), (4, "<i4")))
     if table.column("part")[0].as_py() < 0:
         first, behind, row = start, start + length, np.arange(len(ids))
     else:
@@ -270,16 +307,22 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, size // PART_BYTES)
-    packed = plain.mapInArrow(partial(_named, parts=parts), "part int, name binary, id binary, print binary")
+    entries = "part int, tag binary, id binary, id_high binary, print binary"
+    packed = plain.mapInArrow(partial(_named, parts=parts), entries)
     dealt = lambda df: df.repartition(parts + 1, "part").groupBy("part")
+
     def shared_names(table: pa.Table) -> pa.Table:
-        return _shared(table, parts)
+        return _slim(_shared(_wide(table, "name", "<u8"), parts))
+
+    def of_documents(table: pa.Table) -> pa.Table:
+        return _of_documents(_wide(table, "names", "<u4", "p"))
 
-    shared = stored(dealt(packed).applyInArrow(shared_names, "part int, id binary, p binary, names binary"))
-    by_doc = dealt(shared).applyInArrow(_of_documents, "id long, p long, names binary")
+    shared = stored(dealt(packed).applyInArrow(shared_names, entries))
+    by_doc = dealt(shared).applyInArrow(of_documents, "id long, p long, names binary").withColumnRenamed("p", "print")
     id_ = F.coalesce("doc_id", F.lit(int(NO_ID)))
-    with_names = plain.withColumn("id", id_).join(by_doc, ["id", "p"]).select("doc_id", "p", "text", "names")
-    schema = "part int, id binary, print binary, start binary, length binary, body binary"
+    low = F.col("p").bitwiseAND(F.lit(0xFFFFFFFF))
+    with_names = plain.withColumns({"id": id_, "print": low}).join(by_doc, ["id", "print"]).select("doc_id", "p", "text", "names")
+    schema = "part int, id binary, id_high binary, print binary, start binary, start_high binary, length binary, length_high binary, body binary"
     spans = stored(dealt(with_names.mapInArrow(partial(_segments, parts=parts), schema)).applyInArrow(_spans, "id long, p long, first long, behind long"))
     per_doc = spans.groupBy("id", "p").agg(F.collect_list(F.struct("first", "behind")).alias("spans"))
     joined = plain.withColumn("id", id_).join(per_doc, ["id", "p"], "left").select("doc_id", "text", "spans")
