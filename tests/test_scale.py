@@ -10,7 +10,7 @@ from tidepanel import session
 from tidepanel.operators.blocks import in_blocks
 from tidepanel.operators.moments import with_beta
 from tidepanel.operators.windows import beta, timeline
-from tidepanel.plans import daily_store as store, ranking_panel as ranking
+from tidepanel.plans import daily_store as store, queries as plan_queries, queries_io, ranking_panel as ranking
 from tidepanel.sources.adapters import bars, index_series
 
 DAY = dt.date(2024, 1, 1)
@@ -106,3 +106,21 @@ def test_targets_are_made_beside_the_features_without_moving_these(spark, tmp_pa
     for c in got.columns.drop("known"):
         a, b = got[c], want[c]
         assert a.equals(b) if a.dtype == object or a.dtype == bool else a.tolist() == pytest.approx(b.tolist(), rel=1e-9, abs=1e-9, nan_ok=True), c
+
+
+@pytest.mark.parametrize("made, plan", [
+    (lambda spark, sf: plan_queries._features(spark, sf), store),
+    (lambda spark, sf: queries_io._blocked(spark, sf), ranking),
+], ids=["store", "blocks"])
+def test_series_of_a_day_join_as_tables(spark, sf, monkeypatch, made, plan):
+    """What is joined to all rows by day is sized by its own rows, not by the lots behind it, or it would be shuffled with them."""
+    class Seen(Exception):
+        pass
+
+    def spy(df, context, **how):
+        raise Seen(context._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(plan, "with_context", spy)
+    with pytest.raises(Seen) as seen:
+        made(spark, sf)
+    assert "Aggregate" not in str(seen.value)
