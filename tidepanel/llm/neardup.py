@@ -5,8 +5,8 @@
 2. Consistent weighted sampling draws ``BANDS`` * ``ROWS`` samples per document; a band of equal samples is a bucket key.
 3. In each bucket the most central text is compared with all others (no pairs among the rest); pairs that pass the
    weighted Jaccard threshold are links. Texts of a bucket that are then still in different components are compared with
-   each other: by their sketches where the bucket has at most ``FEW``, else by an exact prefix filter, as texts that similar share
-   one of their rarest shingles; of both kinds those whose sampled estimate is far below the threshold are passed over
+   each other where an exact filter lets them: texts that similar share one of their rarest shingles. Where the bucket has at
+   most ``FEW`` it is part of the join's condition, else the join is by these shingles; of both kinds pairs whose sampled estimate is far below the threshold are passed over
    (a loss of 1 in 5,000 at the threshold, less than that of the bands). No bucket is capped.
 4. Components of the links are the classes; exact copies of a text belong to its class without being compared.
 
@@ -25,13 +25,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidepanel.llm.common import byte_classes, components, flat, mixed, pieces, read, shingles, stored, word_hashes
 from tidepanel.operators.order import null_safe_join
 
 BUCKETS = 1 << 18
 BLOCK = 1 << 14
+CHUNK = 1 << 17  # bytes of text sampled at a time: the arrays made of them stay in a core's cache
 BANDS, ROWS = 20, 5
 FEW = 4096
 SKETCH = -(-BANDS * ROWS // 32)  # longs that hold two bits of each sample
@@ -48,10 +49,11 @@ def _shingles(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray,
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: in how many documents each bucket occurs (in blocks), and the number of documents with words."""
     seen, n = np.zeros(BUCKETS, np.int64), 0
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=CHUNK):
         h, first = _shingles(batch)
         row = np.repeat(np.arange(batch.num_rows, dtype=np.int64), np.diff(first))
-        pairs = np.unique(row * BUCKETS + (h & np.uint64(BUCKETS - 1)).astype(np.int64))
+        pairs = np.sort(row * BUCKETS + (h & np.uint64(BUCKETS - 1)).astype(np.int64))
+        pairs = pairs[np.diff(pairs, prepend=-1) != 0]
         seen += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
         n += int((np.diff(first) > 0).sum())
     if n:
@@ -81,7 +83,8 @@ def idf(docs: DataFrame) -> np.ndarray:
 def weighted(h: np.ndarray, first: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each row, their TF-IDF weights, and each row's first."""
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    order = np.lexsort((h, row))
+    order = np.argsort(h)
+    order = order[np.argsort(row[order].astype(np.uint16 if len(first) < 1 << 16 else np.int64), kind="stable")]
     h, row = h[order], row[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
@@ -107,21 +110,33 @@ class Sampler:
         log_w = np.log(w).astype(np.float32)
         begin = first[:-1][np.diff(first) > 0]
         out = np.empty((len(begin), len(self.turns)), np.float32)
+        x, bits = np.empty_like(h), np.empty_like(h)
+        r, beta, log_c, y = (np.empty(len(h), np.float32) for _ in range(4))
+
+        def picked(table: np.ndarray, shift: int, into: np.ndarray) -> None:
+            np.right_shift(x, np.uint64(shift), out=bits)
+            np.bitwise_and(bits, np.uint64(0xFFFF), out=bits)
+            table.take(bits.view(np.int64), out=into, mode="clip")  # no index is outside; "raise" would copy
+
         for s, turn in enumerate(self.turns):
-            x = h * turn
-            x ^= x >> np.uint64(29)
-            r = self.r[(x >> np.uint64(48)).astype(np.int64)]
-            beta = self.beta[((x >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.int64)]
-            log_c = self.log_c[((x >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64)]
-            t = np.floor(log_w / r + beta)
-            # ln y = r (t - beta); ln a = ln c - ln y - r
-            out[:, s] = np.minimum.reduceat(log_c - r * (t - beta) - r, begin)
+            np.multiply(h, turn, out=x)
+            np.bitwise_xor(x, np.right_shift(x, np.uint64(29), out=bits), out=x)
+            picked(self.r, 48, r), picked(self.beta, 32, beta), picked(self.log_c, 16, log_c)
+            # t = floor(ln w / r + beta); ln y = r (t - beta); ln a = ln c - ln y - r
+            np.divide(log_w, r, out=y)
+            y += beta
+            np.floor(y, out=y)
+            y -= beta
+            y *= r
+            np.subtract(log_c, y, out=y)
+            y -= r
+            out[:, s] = np.minimum.reduceat(y, begin)
         return out
 
 
 def _banded(batches: Iterable[pa.RecordBatch], weights: Broadcast) -> Iterator[pa.RecordBatch]:
     sampler = Sampler()
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=CHUNK):
         h, w, first = weighted(*_shingles(batch), weights.value)
         has = np.flatnonzero(np.diff(first) > 0)
         if not len(has):
@@ -167,20 +182,25 @@ def _verified(batches: Iterable[pa.RecordBatch], weights: Broadcast, threshold:
         yield batch.select(["a", "b"]).take(pa.array(rows, pa.int64()))
 
 
+def _rarest(h: np.ndarray, w: np.ndarray, weights: np.ndarray, threshold: float) -> tuple[np.ndarray, list[int]]:
+    """A text's shingles, rarest first, and how many of them lead to all similar texts: by weight, then by number, for the
+    smaller text of a pair (which shares 2t/(1+t) of itself) and for the larger one (which shares t)."""
+    order = np.lexsort((h, -weights[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]))
+    mass, n, less = np.cumsum(w[order]), len(h), 1 - threshold
+    share = [x * (1 + 1e-6) for x in (less / (1 + threshold), less)]  # what may differ; the least above it is a prefix
+    by_weight = [int(np.searchsorted(mass, x * mass[-1], "right")) + 1 if n else 0 for x in share]
+    return h[order], [min(k, n) for k in (*by_weight, *(int(x * n) + 1 for x in share))]
+
+
 def _prefixes(batches: Iterable[pa.RecordBatch], weights: Broadcast, threshold: float) -> Iterator[pa.RecordBatch]:
     """The rarest shingles of each text: any text similar enough, by weight or by number, shares one of them."""
     for batch in pieces(batches):
         h, w, first = weighted(*_shingles(batch), weights.value)
-        rarity = weights.value[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]
         rows, keys = [], []
         for i in range(batch.num_rows):
             a, b = first[i], first[i + 1]
-            order = np.lexsort((h[a:b], -rarity[a:b]))
-            mass = np.cumsum(w[a:b][order])
-            by_weight = int(np.searchsorted(mass, (1 - threshold) * mass[-1] * (1 + 1e-6), "right")) + 1 if b > a else 0
-            by_number = int((1 - threshold) * (b - a)) + 1
-            n = min(max(by_weight, by_number), b - a)
-            rows.append(np.full(n, i)), keys.append(h[a:b][order[:n]])
+            own, sizes = _rarest(h[a:b], w[a:b], weights.value, threshold)
+            rows.append(np.full(max(sizes), i)), keys.append(own[: max(sizes)])
         if rows:
             at = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
@@ -189,6 +209,38 @@ def _prefixes(batches: Iterable[pa.RecordBatch], weights: Broadcast, threshold:
             )
 
 
+_SHORT = "node binary, mass double, n int, w_less int, w_more int, n_less int, n_more int, rare array<int>"
+
+
+def _short(batches: Iterable[pa.RecordBatch], weights: Broadcast, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Per text: weight and number of its shingles, and 32 bits of each of its rarest ones (equal shingles have equal bits)."""
+    for batch in pieces(batches, limit=CHUNK):
+        h, w, first = weighted(*_shingles(batch), weights.value)
+        rows, rare = [], []
+        for i in range(batch.num_rows):
+            a, b = first[i], first[i + 1]
+            own, sizes = _rarest(h[a:b], w[a:b], weights.value, threshold)
+            rows.append((float(w[a:b].sum()), b - a, *sizes))
+            rare.append((own[: max(sizes)] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+        mass, *numbers = zip(*rows)
+        at = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
+        columns = [pa.array(mass, pa.float64()), *[pa.array(x, pa.int32()) for x in numbers], pa.ListArray.from_arrays(at, pa.array(np.concatenate(rare)))]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), *columns], names=["node", "mass", "n", "w_less", "w_more", "n_less", "n_more", "rare"])
+
+
+def _may_reach(threshold: float) -> Column:
+    """Whether two texts (the other's columns end in 2) can be similar enough: their sizes are near, and rarest shingles meet."""
+
+    def by(size: str, less: str, more: str) -> Column:
+        def smaller(a: str, b: str) -> Column:
+            met = F.arrays_overlap(F.slice(f"rare{a}", F.lit(1), F.col(less + a)), F.slice(f"rare{b}", F.lit(1), F.col(more + b)))
+            return (F.col(size + a) >= F.col(size + b) * (threshold * (1 - 1e-6))) & met
+
+        return F.when(F.col(size) <= F.col(f"{size}2"), smaller("", "2")).otherwise(smaller("2", ""))
+
+    return by("mass", "w_less", "w_more") | by("n", "n_less", "n_more")
+
+
 def _links(pairs: DataFrame, texts: DataFrame, weights: Broadcast, threshold: float) -> DataFrame:
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -196,9 +248,10 @@ def _links(pairs: DataFrame, texts: DataFrame, weights: Broadcast, threshold: fl
     return stored(both.mapInArrow(partial(_verified, weights=weights, threshold=threshold), "a binary, b binary"))
 
 
-def _apart(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs (a, b) with equal keys that are in different components and whose sketches differ in ``DIFFER`` places at most."""
-    other = rows.select(*keys, F.col("node").alias("b"), F.col("root").alias("root2"), F.col("sketch").alias("sketch2"), F.col("bands").alias("bands2"))
+def _apart(rows: DataFrame, keys: list[str], also: Column | None = None) -> DataFrame:
+    """Pairs (a, b) with equal keys that are in different components and whose sketches differ in ``DIFFER`` places at most,
+    and for which ``also`` holds; in it the other's columns end in 2."""
+    other = rows.select(*keys, F.col("node").alias("b"), *[F.col(c).alias(f"{c}2") for c in rows.columns if c not in (*keys, "node")])
 
     def differ(k: int):
         x = F.get(F.col("sketch"), F.lit(k)).bitwiseXOR(F.get(F.col("sketch2"), F.lit(k)))
@@ -207,7 +260,8 @@ def _apart(rows: DataFrame, keys: list[str]) -> DataFrame:
     total = sum((differ(k) for k in range(1, SKETCH)), differ(0))
     # A pair comes from the least of the buckets it shares: elsewhere it has been compared or is in one component.
     first = F.col("bucket") == F.array_min(F.array_intersect("bands", "bands2"))
-    both = rows.join(other, keys).where((F.col("root") != F.col("root2")) & (F.col("node") < F.col("b")) & (total <= DIFFER) & first)
+    near = (F.col("root") != F.col("root2")) & (F.col("node") < F.col("b")) & (total <= DIFFER) & first
+    both = rows.join(other, keys).where(near if also is None else near & also)
     return both.select(F.col("node").alias("a"), "b")
 
 
@@ -237,7 +291,8 @@ def _rooted(docs: DataFrame, text: str, threshold: float) -> tuple[DataFrame, Da
     rest = rest.join(apart.where("lo <> hi").select("bucket", "n"), "bucket").join(keys, "node")
     rest = stored(rest)
     few = rest.where(F.col("n") <= FEW).select("bucket", "node", "root", "sketch", "bands")
-    near = _apart(few, ["bucket"])
+    some = _texts_of(texts, few).mapInArrow(partial(_short, weights=weights, threshold=threshold), _SHORT)
+    near = _apart(few.join(some.hint("merge"), "node"), ["bucket"], _may_reach(threshold))
     rarest = rest.where(F.col("n") > FEW).join(texts, "node").select("bucket", "node", "root", "sketch", "bands", "text").mapInArrow(
         partial(_prefixes, weights=weights, threshold=threshold),
         "bucket bigint, node binary, root binary, sketch array<bigint>, bands array<bigint>, key bigint",
@@ -261,6 +316,11 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     )
 
 
+def _texts_of(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts of some nodes, each once."""
+    return texts.join(rows.select("node").distinct().hint("merge"), "node", "left_semi")
+
+
 def _first_texts(plain: DataFrame, wanted: DataFrame) -> DataFrame:
     """One (node, text) for each wanted node, of which there are the more the larger the corpus: never a broadcast."""
     return plain.join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
