@@ -23,12 +23,14 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidepanel.llm.common import flat, mixed, pieces, prefix_hash, read, span_hash, stored
+from tidepanel.llm.common import flat, mixed, pieces, prefix_hash, read, runs, span_hash, stored
 
 LENGTH, GRAM = 50, 24
 PART_BYTES = 4 << 20  # of text per group of names
+CHUNK = 1 << 17  # bytes of text hashed at a time: the arrays made of them stay in a core's cache
 FLUSH = 500_000  # names, or a quarter of the segment bytes, that a task holds before it passes them on
 NO_ID = np.iinfo(np.int64).max
 
@@ -100,7 +102,7 @@ def _named(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordB
         name, ids, prints = (np.concatenate(x) for x in zip(*held))
         return _packed((name % np.uint64(parts)).astype(np.int64), {"tag": _tags(name), **_halves("id", ids), "print": prints})
 
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=CHUNK):
         ids, prints = _ids(batch)
         name, _, _, row = names(*flat(batch.column("text")))
         order = np.lexsort((name, row))
@@ -204,7 +206,7 @@ def _segments(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.Reco
         bodies = _packed(np.repeat(part, size), {"body": body[at]})
         yield pa.RecordBatch.from_arrays([*batch.columns, bodies.column("body")], names=[*batch.schema.names, "body"])
 
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=CHUNK):
         ids, prints = _ids(batch)
         data, offsets = flat(batch.column("text"))
         name, first, behind, row = names(data, offsets)
@@ -270,34 +272,24 @@ def _spans(table: pa.Table) -> pa.Table:
     return pa.table({"id": ids[row], "p": prints[row], "first": first.astype(np.int64), "behind": behind.astype(np.int64)})
 
 
-def united(first: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs covered by the spans."""
-    order = np.argsort(first, kind="stable")
-    first, behind = first[order], np.maximum.accumulate(behind[order])
-    new = np.ones(len(first), bool)
-    new[1:] = first[1:] > behind[:-1]
-    at = np.flatnonzero(new)
-    return first[at], behind[np.append(at[1:], len(first)) - 1] if len(at) else behind[:0]
-
-
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
         data, offsets = flat(batch.column("text"))
-        out = []
-        for r, spans in enumerate(batch.column("spans").to_pylist()):
-            own = data[offsets[r] : offsets[r + 1]]
-            pairs = np.array([(s["first"], s["behind"]) for s in spans or []], np.int64).reshape(-1, 2)
-            first, behind = united(pairs[:, 0], pairs[:, 1])
-            left = np.ones(len(own), bool)
-            for a, b in zip(first.tolist(), behind.tolist()):
-                left[a:b] = False
-            rest = own[left].tobytes()
-            out.append((len(own), len(own) - len(rest), len(first), hashlib.sha256(rest).hexdigest(), rest))
-        columns = list(zip(*out))
+        spans = batch.column("spans")
+        row = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False))
+        first, behind = (offsets[row] + spans.flatten().field(c).to_numpy(zero_copy_only=False) for c in ("first", "behind"))
+        n = len(data) + 1
+        gone = np.cumsum(np.bincount(first, minlength=n) - np.bincount(behind, minlength=n))[:-1] > 0
+        count = np.diff(np.searchsorted(runs(gone, offsets)[0], offsets))
+        at = np.append(0, np.cumsum(~gone))[offsets]
+        rest = data[~gone].tobytes()
+        kept = [rest[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        size, left = np.diff(offsets), np.diff(at)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *[pa.array(columns[i], pa.int64()) for i in range(3)], pa.array(columns[3]), pa.array(columns[4], pa.binary())],
+            [batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (size, size - left, count)],
+             pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array(kept, pa.binary())],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-        )
+        )
 
 
 def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
