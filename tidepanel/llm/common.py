@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidepanel.session import materialise
+from tidepanel.session import materialise, ship
 
 SPACE = " \t\n\x0b\x0c\r"
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
@@ -21,20 +17,6 @@ CHUNK_BYTES = 2 << 20
 ODD = 0x9E3779B97F4A7C15
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per Spark context, so that their Python workers can import it."""
-    context = spark.sparkContext
-    if getattr(context, "_tidepanel_sent", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    target = Path(os.path.realpath(tempfile.mkdtemp(prefix="tidepanel-"))) / "tidepanel.zip"
-    with zipfile.ZipFile(target, "w") as out:
-        for file in sorted(root.rglob("*.py")):
-            out.write(file, str(file.relative_to(root.parent)))
-    context.addPyFile(str(target))
-    context._tidepanel_sent = True
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
